@@ -16,10 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchtrail.functions.columns import UNATTRIBUTED
+from touchtrail.functions.columns import MICROS_PER_SECOND, UNATTRIBUTED
 from touchtrail.operators.journey import lookback_micros
 from touchtrail.params import FIRST_CLICK, LAST_CLICK, MODELS
 from touchtrail.schemas import CONVERSION_COLUMNS, TOUCH, TOUCH_COLUMNS
@@ -27,6 +27,9 @@ from touchtrail.schemas import CONVERSION_COLUMNS, TOUCH, TOUCH_COLUMNS
 SLICE_SECONDS = 60
 
 _USER = "user_pseudo_id"
+# Without a user or a time nothing can match; such rows skip the scans.
+_KNOWN_CONVERSION = "user_pseudo_id IS NOT NULL AND conversion_ts IS NOT NULL"
+_KNOWN_TOUCH = "user_pseudo_id IS NOT NULL AND touchpoint_ts IS NOT NULL"
 _TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 _BEFORE_HERE = (Window.unboundedPreceding, -1)
 
@@ -46,19 +49,11 @@ def attribute(
     """
     lookback = lookback_micros(lookback_days)
     at = F.unix_micros("conversion_ts")
-    starts = {FIRST_CLICK: at - lookback, LAST_CLICK: at}
-    probes = [
-        conversions.select(
-            _USER,
-            starts[model].alias("at"),
-            F.struct(*CONVERSION_COLUMNS, F.lit(model).alias("model")).alias("probe"),
-        )
-        for model in models
-    ]
-    line = _marks(touchpoints)
-    for probe in probes:
-        line = line.unionByName(probe, allowMissingColumns=True)
-    line = _sliced(line, slice_seconds)
+    looks = {FIRST_CLICK: at - lookback, LAST_CLICK: at}
+    as_probe = F.struct(*CONVERSION_COLUMNS, "model").alias("probe")
+    looking = F.array(*(F.struct(F.lit(m).alias("model"), looks[m].alias("at")) for m in models))
+    probes = conversions.where(_KNOWN_CONVERSION).select(*CONVERSION_COLUMNS, F.inline(looking))
+    line = _line(_marks(touchpoints), probes.select(_USER, "at", as_probe), slice_seconds)
 
     is_probe = F.col("probe").isNotNull()
     in_slice = Window.partitionBy(_USER, "slice")
@@ -69,41 +64,44 @@ def attribute(
         _USER,
         "slice",
         "probe",
-        F.last("latest", ignorenulls=True).over(upward).alias("behind"),
-        F.last("earliest", ignorenulls=True).over(downward).alias("ahead"),
+        F.last("mark.latest", ignorenulls=True).over(upward).alias("behind"),
+        F.last("mark.earliest", ignorenulls=True).over(downward).alias("ahead"),
     ).where(is_probe)
 
+    mark_at = F.when(F.col("mark").isNotNull(), F.col("at"))
     edges = line.groupBy(_USER, "slice").agg(
-        F.min_by("earliest", _known_at("earliest")).alias("head"),
-        F.max_by("latest", _known_at("latest")).alias("tail"),
+        F.min_by("mark.earliest", mark_at).alias("head"),
+        F.max_by("mark.latest", mark_at).alias("tail"),
         F.max(is_probe).alias("probed"),
     )
     slices = Window.partitionBy(_USER)
+    earlier = slices.orderBy(F.asc("slice")).rowsBetween(*_BEFORE_HERE)
+    later = slices.orderBy(F.desc("slice")).rowsBetween(*_BEFORE_HERE)
     carried = edges.select(
         _USER,
         "slice",
         "probed",
-        F.last("tail", ignorenulls=True)
-        .over(slices.orderBy(F.asc("slice")).rowsBetween(*_BEFORE_HERE))
-        .alias("before"),
-        F.last("head", ignorenulls=True)
-        .over(slices.orderBy(F.desc("slice")).rowsBetween(*_BEFORE_HERE))
-        .alias("after"),
+        F.last("tail", ignorenulls=True).over(earlier).alias("before"),
+        F.last("head", ignorenulls=True).over(later).alias("after"),
     ).where("probed")
 
     nearest = F.when(
         F.col("probe.model") == FIRST_CLICK, F.coalesce("ahead", "after")
     ).otherwise(F.coalesce("behind", "before"))
-    found = scanned.join(carried.drop("probed"), [_USER, "slice"], "left").select(
-        "probe", nearest.alias("touch")
-    )
     gap = F.unix_micros("probe.conversion_ts") - F.unix_micros("touch.touchpoint_ts")
-    credited = found.select("probe", F.when(gap.between(0, lookback), F.col("touch")).alias("touch"))
-    return credited.select(
-        *(F.col(f"probe.{c}").alias(c) for c in CONVERSION_COLUMNS),
+    found = (
+        scanned.join(carried.drop("probed"), [_USER, "slice"], "left")
+        .select("probe", nearest.alias("touch"))
+        .select("probe.*", F.when(gap.between(0, lookback), F.col("touch")).alias("touch"))
+    )
+    unknown = conversions.where(f"NOT ({_KNOWN_CONVERSION})").select(
+        *CONVERSION_COLUMNS, F.explode(F.array(*map(F.lit, models))).alias("model")
+    )
+    return found.unionByName(unknown, allowMissingColumns=True).select(
+        *CONVERSION_COLUMNS,
         *(F.col(f"touch.{c}").alias(c) for c in TOUCH_COLUMNS[:-1]),
         F.coalesce("touch.channel", F.lit(UNATTRIBUTED)).alias("channel"),
-        F.col("probe.model").alias("attribution_model"),
+        F.col("model").alias("attribution_model"),
     )
 
 
@@ -135,39 +133,37 @@ def path_lengths(
     pair of conversion and touch is ever formed.
     """
     lookback = lookback_micros(lookback_days)
-    at = F.unix_micros("conversion_ts")
     marks = (
-        touchpoints.where(F.col(_USER).isNotNull() & F.col("touchpoint_ts").isNotNull())
+        touchpoints.where(_KNOWN_TOUCH)
         .groupBy(_USER, F.unix_micros("touchpoint_ts").alias("at"))
-        .agg(F.count("*").alias("touches"))
-        .select(_USER, "at", "touches", F.lit(0).alias("turn"))
-    )
-    ends = conversions.select(
-        _USER, "conversion_id", F.explode(F.array(F.lit(-1), F.lit(1))).alias("turn"), at.alias("end")
-    ).select(
-        _USER,
-        "conversion_id",
-        "turn",
-        (F.col("end") - F.when(F.col("turn") < 0, lookback).otherwise(0)).alias("at"),
+        .agg(F.count("*").alias("mark"))
     )
-    line = _sliced(marks.unionByName(ends, allowMissingColumns=True), slice_seconds)
+    # A conversion adds what was counted up to itself and takes off what came before its lookback.
+    at = F.unix_micros("conversion_ts")
+    looks = ((-1, at - lookback), (1, at))
+    looking = F.array(*(F.struct(F.lit(n).alias("sign"), t.alias("at")) for n, t in looks))
+    probes = conversions.where(_KNOWN_CONVERSION).select(*CONVERSION_COLUMNS, F.inline(looking))
+    as_probe = F.struct("conversion_id", "sign").alias("probe")
+    line = _line(marks, probes.select(_USER, "at", as_probe), slice_seconds)
+
     # At one instant: lookback starts, then touches, then conversions.
-    upward = Window.partitionBy(_USER, "slice").orderBy("at", "turn").rowsBetween(*_TO_HERE)
+    turn = F.coalesce("probe.sign", F.lit(0))
+    upward = Window.partitionBy(_USER, "slice").orderBy("at", turn).rowsBetween(*_TO_HERE)
     scanned = line.select(
-        _USER, "slice", "conversion_id", "turn", F.sum("touches").over(upward).alias("here")
-    ).where("turn <> 0")
+        _USER, "slice", "probe", F.sum("mark").over(upward).alias("here")
+    ).where("probe IS NOT NULL")
     totals = line.groupBy(_USER, "slice").agg(
-        F.sum("touches").alias("touches"), F.max(F.col("turn") != 0).alias("probed")
+        F.sum("mark").alias("touches"), F.max(F.col("probe").isNotNull()).alias("probed")
     )
     earlier = Window.partitionBy(_USER).orderBy("slice").rowsBetween(*_BEFORE_HERE)
     carried = totals.select(
-        _USER, "slice", "probed", F.sum("touches").over(earlier).alias("earlier")
+        _USER, "slice", "probed", F.sum("touches").over(earlier).alias("before")
     ).where("probed")
-    reached = F.coalesce("here", F.lit(0)) + F.coalesce("earlier", F.lit(0))
+    reached = F.coalesce("here", F.lit(0)) + F.coalesce("before", F.lit(0))
     return (
-        scanned.join(carried.drop("probed"), [_USER, "slice"])
-        .groupBy("conversion_id")
-        .agg(F.sum(F.col("turn") * reached).alias("touches"))
+        scanned.join(carried.drop("probed"), [_USER, "slice"], "left")
+        .groupBy(F.col("probe.conversion_id").alias("conversion_id"))
+        .agg(F.sum(F.col("probe.sign") * reached).alias("touches"))
         .where("touches > 0")
     )
 
@@ -176,16 +172,21 @@ def _marks(touchpoints: DataFrame) -> DataFrame:
     """Smallest and largest touch by id for each user and instant that has any."""
     touch = F.struct(*(F.col(c).cast(TOUCH[c].dataType).alias(c) for c in TOUCH_COLUMNS))
     return (
-        touchpoints.where(F.col(_USER).isNotNull() & F.col("touchpoint_ts").isNotNull())
+        touchpoints.where(_KNOWN_TOUCH)
         .groupBy(_USER, F.unix_micros("touchpoint_ts").alias("at"))
-        .agg(F.min(touch).alias("earliest"), F.max(touch).alias("latest"))
+        .agg(F.struct(F.min(touch).alias("earliest"), F.max(touch).alias("latest")).alias("mark"))
     )
 
 
-def _sliced(line: DataFrame, slice_seconds: int) -> DataFrame:
-    width = slice_seconds * 1_000_000
-    return line.withColumn("slice", F.col("at") - F.pmod("at", F.lit(width)))
-
+def _line(marks: DataFrame, probes: DataFrame, slice_seconds: int) -> DataFrame:
+    """Marks and probes on one time line, partitioned by user and slice.
 
-def _known_at(touch: str) -> Column:
-    return F.when(F.col(touch).isNotNull(), F.col("at"))
+    The scan of a slice and its summary both read all five columns, so they share this one
+    shuffle.
+    """
+    width = slice_seconds * MICROS_PER_SECOND
+    return (
+        marks.unionByName(probes, allowMissingColumns=True)
+        .withColumn("slice", F.col("at") - F.pmod("at", F.lit(width)))
+        .repartition(_USER, "slice")
+    )

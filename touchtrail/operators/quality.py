@@ -34,9 +34,11 @@ def column_tests(
     table: DataFrame, name: str, not_nulls: Sequence[str], uniques: Sequence[str]
 ) -> DataFrame:
     """Failures per declared column test. All not-null tests share one pass over the table."""
-    counts = table.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in not_nulls))
-    rows = F.array(*(_verdict(name, c, "not_null", F.col(c)) for c in not_nulls))
-    results = [counts.select(F.inline(rows))]
+    results = []
+    if not_nulls:
+        counts = table.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in not_nulls))
+        rows = F.array(*(_verdict(name, c, "not_null", F.col(c)) for c in not_nulls))
+        results.append(counts.select(F.inline(rows)))
     results += [violation_count(unique(table, c), name, c, "unique") for c in uniques]
     return reduce(DataFrame.unionByName, results)
 
@@ -56,21 +58,23 @@ def _verdict(table: str, column: str, test: str, failures: Column) -> Column:
     )
 
 
-def revenue_totals(conversions: DataFrame, marts: DataFrame) -> DataFrame:
-    """One row: revenue of the conversions and of each mart, rounded to cents."""
+def reconciliation(conversions: DataFrame, marts: DataFrame) -> DataFrame:
+    """One row: revenue of the conversions and of each mart to the cent, and if they agree.
+
+    A missing total compares as unknown, which counts as agreement: empty marts pass. See
+    ``strict_reconciles`` for the test that has no such gap.
+    """
     stacked = _labelled(conversions, marts, "revenue")
-    return stacked.agg(
+    totals = stacked.agg(
         *(money(F.when(F.col("label") == t, F.col("revenue"))).alias(t) for t in _TOTALS)
     )
+    differs = reduce(Column.__or__, (_differs(F.col(t)) for t in _TOTALS[1:]))
+    return totals.withColumn("reconciles", ~F.coalesce(differs, F.lit(False)))
 
 
 def revenue_reconciles(conversions: DataFrame, marts: DataFrame) -> DataFrame:
-    """The totals if one mart's differs from that of the conversions.
-
-    A missing total compares as unknown, hence empty marts pass; see ``strict_reconciles``.
-    """
-    totals = revenue_totals(conversions, marts)
-    return totals.where(reduce(Column.__or__, (_differs(F.col(t)) for t in _TOTALS[1:])))
+    """The totals if one mart's differs from that of the conversions."""
+    return reconciliation(conversions, marts).where("NOT reconciles").drop("reconciles")
 
 
 def _differs(total: Column) -> Column:
