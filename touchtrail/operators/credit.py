@@ -56,7 +56,7 @@ def attribute(
     line = _line(_marks(touchpoints), probes.select(_USER, "at", as_probe), slice_seconds)
 
     is_probe = F.col("probe").isNotNull()
-    in_slice = Window.partitionBy(_USER, "slice")
+    in_slice = Window.partitionBy("slice", _USER)
     # Touches sort before probes at the same instant in both directions: both ends count.
     upward = in_slice.orderBy(F.asc("at"), is_probe).rowsBetween(*_TO_HERE)
     downward = in_slice.orderBy(F.desc("at"), is_probe).rowsBetween(*_TO_HERE)
@@ -69,7 +69,7 @@ def attribute(
     ).where(is_probe)
 
     mark_at = F.when(F.col("mark").isNotNull(), F.col("at"))
-    edges = line.groupBy(_USER, "slice").agg(
+    edges = line.groupBy("slice", _USER).agg(
         F.min_by("mark.earliest", mark_at).alias("head"),
         F.max_by("mark.latest", mark_at).alias("tail"),
         F.max(is_probe).alias("probed"),
@@ -90,7 +90,7 @@ def attribute(
     ).otherwise(F.coalesce("behind", "before"))
     gap = F.unix_micros("probe.conversion_ts") - F.unix_micros("touch.touchpoint_ts")
     found = (
-        scanned.join(carried.drop("probed"), [_USER, "slice"], "left")
+        scanned.join(carried.drop("probed"), ["slice", _USER], "left")
         .select("probe", nearest.alias("touch"))
         .select("probe.*", F.when(gap.between(0, lookback), F.col("touch")).alias("touch"))
     )
@@ -135,7 +135,7 @@ def path_lengths(
     lookback = lookback_micros(lookback_days)
     marks = (
         touchpoints.where(_KNOWN_TOUCH)
-        .groupBy(_USER, F.unix_micros("touchpoint_ts").alias("at"))
+        .groupBy(F.unix_micros("touchpoint_ts").alias("at"), _USER)
         .agg(F.count("*").alias("mark"))
     )
     # A conversion adds what was counted up to itself and takes off what came before its lookback.
@@ -148,11 +148,11 @@ def path_lengths(
 
     # At one instant: lookback starts, then touches, then conversions.
     turn = F.coalesce("probe.sign", F.lit(0))
-    upward = Window.partitionBy(_USER, "slice").orderBy("at", turn).rowsBetween(*_TO_HERE)
+    upward = Window.partitionBy("slice", _USER).orderBy("at", turn).rowsBetween(*_TO_HERE)
     scanned = line.select(
         _USER, "slice", "probe", F.sum("mark").over(upward).alias("here")
     ).where("probe IS NOT NULL")
-    totals = line.groupBy(_USER, "slice").agg(
+    totals = line.groupBy("slice", _USER).agg(
         F.sum("mark").alias("touches"), F.max(F.col("probe").isNotNull()).alias("probed")
     )
     earlier = Window.partitionBy(_USER).orderBy("slice").rowsBetween(*_BEFORE_HERE)
@@ -161,7 +161,7 @@ def path_lengths(
     ).where("probed")
     reached = F.coalesce("here", F.lit(0)) + F.coalesce("before", F.lit(0))
     return (
-        scanned.join(carried.drop("probed"), [_USER, "slice"], "left")
+        scanned.join(carried.drop("probed"), ["slice", _USER], "left")
         .groupBy(F.col("probe.conversion_id").alias("conversion_id"))
         .agg(F.sum(F.col("probe.sign") * reached).alias("touches"))
         .where("touches > 0")
@@ -173,7 +173,7 @@ def _marks(touchpoints: DataFrame) -> DataFrame:
     touch = F.struct(*(F.col(c).cast(TOUCH[c].dataType).alias(c) for c in TOUCH_COLUMNS))
     return (
         touchpoints.where(_KNOWN_TOUCH)
-        .groupBy(_USER, F.unix_micros("touchpoint_ts").alias("at"))
+        .groupBy(F.unix_micros("touchpoint_ts").alias("at"), _USER)
         .agg(F.struct(F.min(touch).alias("earliest"), F.max(touch).alias("latest")).alias("mark"))
     )
 
@@ -188,5 +188,5 @@ def _line(marks: DataFrame, probes: DataFrame, slice_seconds: int) -> DataFrame:
     return (
         marks.unionByName(probes, allowMissingColumns=True)
         .withColumn("slice", F.col("at") - F.pmod("at", F.lit(width)))
-        .repartition(_USER, "slice")
+        .repartition("slice", _USER)
     )

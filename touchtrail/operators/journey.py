@@ -17,7 +17,7 @@ from touchtrail.schemas import CONVERSION_COLUMNS, TOUCH_COLUMNS
 
 # A lookback is cut into this many slices for the path join, so that the rows of one heavy
 # user spread over many join keys; each conversion then looks into one slice more than that.
-SLICES_PER_LOOKBACK = 8
+SLICES_PER_LOOKBACK = 4
 
 
 def touchpoints(staged: DataFrame) -> DataFrame:
