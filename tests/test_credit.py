@@ -82,7 +82,7 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize(("days", "slice_seconds"), [(2, 60), (2, 7 * DAY), (30, 3600)])
+@pytest.mark.parametrize(("days", "slice_seconds"), [(2, 60), (30, 7 * DAY)])
 def test_equals_ranking_all_pairs(spark, case, days, slice_seconds):
     convs, marks = random_tables(spark, *CASES[case])
     want, pairs = by_rank(convs, marks, days)
