@@ -4,11 +4,14 @@ import pytest
 from build import at, landing, nested, param, rows_of
 
 from touchtrail import Params
+from touchtrail.__main__ import main
 from touchtrail.operators import journey, quality
 from touchtrail.plans import pipeline
 from touchtrail.session import scratch_dir
 from touchtrail.sources import given_events as given
 from touchtrail.sources.batch import read_nested_events
+from touchtrail.sources.landing import read_landing
+from touchtrail.streaming import ingest
 
 SF = "/root/testdata/sf0.01"
 
@@ -109,3 +112,34 @@ def test_scratch_folder_follows_the_session(spark):
     assert one != two
     if base:
         assert one.startswith(base)
+
+
+def test_jobs_from_the_command_line(spark, tmp_path):
+    web = given.web_events(given.read_events(spark, SF))
+    given.as_nested(given.batch_part(web)).write.parquet(f"{tmp_path}/export/events_20240101")
+    sent = given.landed_part(web).select(*ingest.SENT_EVENTS.fieldNames())
+    sent.write.json(f"{tmp_path}/inbox")
+    landing_dir, out = f"{tmp_path}/landing", f"{tmp_path}/out"
+    assert main(["create-landing", "--landing", landing_dir]) == 0
+    for checkpoint in ("a", "b"):
+        arguments = ["--inbox", f"{tmp_path}/inbox", "--checkpoint", f"{tmp_path}/{checkpoint}"]
+        assert main(["ingest", "--landing", landing_dir, *arguments]) == 0
+    assert main(["rebuild", "--events", f"{tmp_path}/export", "--landing", landing_dir, "--out", out]) == 0
+    assert read_landing(spark, landing_dir).count() == 2 * sent.count()
+    tables = pipeline.Tables(
+        *(spark.read.parquet(f"{out}/{t}") for t in ("staged", "touchpoints", "conversions", "marts"))
+    )
+    pipeline.register_views(tables)
+    totals = "SELECT count(*) AS n, round(sum(revenue), 2) AS revenue FROM "
+    both = {spark.sql(totals + view).first() for view in ("first_click", "last_click", "conversions")}
+    assert len(both) == 1
+
+
+def test_path_tests_do_not_build_the_paths(spark):
+    web = given.web_events(given.read_events(spark, SF))
+    t = pipeline.build(given.batch_part(web), given.landed_part(web))
+    paths = journey.conversion_paths(t.conversions, t.touchpoints)
+    for column in pipeline.PATH_NOT_NULLS:
+        text = quality.not_null(paths, column)._jdf.queryExecution().optimizedPlan().toString()
+        join, filtered = text.index("Join Inner"), text.index("isnull(md5")
+        assert join < filtered

@@ -29,14 +29,32 @@ def _web(spark: SparkSession, sf_dir: str, name_streamed_users: bool = False) ->
     return given.web_events(given.read_events(configure(spark), sf_dir), name_streamed_users)
 
 
-def _build(spark: SparkSession, sf_dir: str, name_streamed_users: bool = False) -> pipeline.Tables:
+def _staged(spark: SparkSession, sf_dir: str, name_streamed_users: bool = False) -> DataFrame:
     web = _web(spark, sf_dir, name_streamed_users)
-    return pipeline.build(given.batch_part(web), given.landed_part(web), PARAMS)
+    return staging.stage_events(
+        given.batch_part(web), streamed_events(given.landed_part(web))
+    )
+
+
+def _journey(
+    spark: SparkSession, sf_dir: str, name_streamed_users: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    staged = _staged(spark, sf_dir, name_streamed_users)
+    return (
+        journey.conversions(staged, PARAMS.conversion_event),
+        journey.touchpoints(staged),
+    )
 
 
-def _journey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    tables = _build(spark, sf_dir)
-    return tables.conversions, tables.touchpoints
+def _marts(spark: SparkSession, sf_dir: str, name_streamed_users: bool = False) -> DataFrame:
+    return credit.attribute(
+        *_journey(spark, sf_dir, name_streamed_users), PARAMS.lookback_days
+    )
+
+
+def _conversions_and_marts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    convs, touches = _journey(spark, sf_dir)
+    return convs, credit.attribute(convs, touches, PARAMS.lookback_days)
 
 
 def flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,11 +62,11 @@ def flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _build(spark, sf_dir).staged
+    return _staged(spark, sf_dir)
 
 
 def touchpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _build(spark, sf_dir).touchpoints
+    return _journey(spark, sf_dir)[1]
 
 
 def channel_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +78,7 @@ def channel_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _build(spark, sf_dir).conversions
+    return _journey(spark, sf_dir)[0]
 
 
 def conversion_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,19 +110,19 @@ def unattributed_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.model_totals(_build(spark, sf_dir).marts)
+    return reports.model_totals(_marts(spark, sf_dir))
 
 
 def channel_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.channel_breakdown(_build(spark, sf_dir).marts)
+    return reports.channel_breakdown(_marts(spark, sf_dir))
 
 
 def channel_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.channel_comparison(_build(spark, sf_dir).marts)
+    return reports.channel_comparison(_marts(spark, sf_dir))
 
 
 def daily_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marts = _build(spark, sf_dir, name_streamed_users=True).marts
+    marts = _marts(spark, sf_dir, name_streamed_users=True)
     return reports.daily_conversions(marts, PARAMS.report_days, PARAMS.stream_pattern)
 
 
@@ -113,7 +131,7 @@ def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_user_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marts = _build(spark, sf_dir, name_streamed_users=True).marts
+    marts = _marts(spark, sf_dir, name_streamed_users=True)
     return reports.streamed_user_credit(marts, PARAMS.stream_pattern)
 
 
@@ -129,21 +147,21 @@ def path_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.event_profile(_build(spark, sf_dir).staged)
+    return reports.event_profile(_staged(spark, sf_dir))
 
 
 def revenue_reconciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row: the three totals and whether they agree."""
-    tables = _build(spark, sf_dir)
-    return quality.reconciliation(tables.conversions, tables.marts)
+    return quality.reconciliation(*_conversions_and_marts(spark, sf_dir))
 
 
 def strict_reconciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions checked one by one: over both marts, and with one mart left out."""
-    tables = _build(spark, sf_dir)
-    one_mart = tables.marts.where(F.col("attribution_model") == FIRST_CLICK)
-    whole = quality.strict_reconciles(tables.conversions, tables.marts)
-    broken = quality.strict_reconciles(tables.conversions, one_mart)
+    convs, marts = _conversions_and_marts(spark, sf_dir)
+    whole = quality.strict_reconciles(convs, marts)
+    broken = quality.strict_reconciles(
+        convs, marts.where(F.col("attribution_model") == FIRST_CLICK)
+    )
     return quality.violation_count(whole, "marts", "revenue", "strict").unionByName(
         quality.violation_count(broken, "one_mart", "revenue", "strict")
     )
@@ -151,13 +169,13 @@ def strict_reconciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared not-null tests of staging and the nullable columns, with rows that fail."""
-    staged = _build(spark, sf_dir).staged
+    staged = _staged(spark, sf_dir)
     return quality.column_tests(staged, "staged_events", staged.columns, [])
 
 
 def unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unique test on the staged key, and on a column that is not unique."""
-    staged = _build(spark, sf_dir).staged
+    staged = _staged(spark, sf_dir)
     return quality.column_tests(staged, "staged_events", [], ["event_id", "user_pseudo_id"])
 
 

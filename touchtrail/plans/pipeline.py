@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from touchtrail.operators import credit, journey, quality, staging
-from touchtrail.params import FIRST_CLICK, LAST_CLICK, Params
+from touchtrail.params import MODELS, Params
 from touchtrail.schemas import (
     CONVERSIONS,
     MARTS,
@@ -22,7 +22,7 @@ from touchtrail.sources.landing import streamed_events
 STAGED_TESTS = (["event_id", "event_ts", "user_pseudo_id", "event_name"], ["event_id"])
 TOUCHPOINT_TESTS = (["touchpoint_id"], ["touchpoint_id"])
 CONVERSION_TESTS = (["conversion_id"], ["conversion_id"])
-PATH_TESTS = (["conversion_id", "touchpoint_id"], [])
+PATH_NOT_NULLS = ["conversion_id", "touchpoint_id"]
 MART_TESTS = (["conversion_id", "channel"], ["conversion_id"])
 
 
@@ -91,15 +91,19 @@ def run_tests(tables: Tables, params: Params = Params()) -> DataFrame:
         ("staged_events", tables.staged, *STAGED_TESTS),
         ("touchpoints", tables.touchpoints, *TOUCHPOINT_TESTS),
         ("conversions", tables.conversions, *CONVERSION_TESTS),
-        ("conversion_paths", paths, *PATH_TESTS),
     ]
-    for model in (FIRST_CLICK, LAST_CLICK):
+    for model in MODELS:
         mart = tables.marts.where(tables.marts.attribution_model == model)
         declared.append((model, mart, *MART_TESTS))
     results = [
         quality.column_tests(table, name, not_nulls, uniques)
         for name, table, not_nulls, uniques in declared
     ]
+    # One filter per test: it moves below the join, so the paths are not built to be counted.
+    results += [
+        quality.violation_count(quality.not_null(paths, c), "conversion_paths", c, "not_null")
+        for c in PATH_NOT_NULLS
+    ]
     results.append(
         quality.violation_count(
             quality.revenue_reconciles(tables.conversions, tables.marts),
@@ -111,6 +115,16 @@ def run_tests(tables: Tables, params: Params = Params()) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
+def register_views(tables: Tables, prefix: str = "") -> None:
+    """Temporary views over a build, so that reports can be written in SQL as well."""
+    tables.staged.createOrReplaceTempView(f"{prefix}staged_events")
+    tables.touchpoints.createOrReplaceTempView(f"{prefix}touchpoints")
+    tables.conversions.createOrReplaceTempView(f"{prefix}conversions")
+    for model in MODELS:
+        mart = tables.marts.where(tables.marts.attribution_model == model)
+        mart.createOrReplaceTempView(f"{prefix}{model}")
+
+
 def _publish(
     spark: SparkSession, table: DataFrame, path: str, schema: StructType, partition: str | None = None
 ) -> DataFrame:

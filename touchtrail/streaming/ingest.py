@@ -65,6 +65,8 @@ def start_ingest(
 
     def land(rows: DataFrame, batch: int) -> None:
         feed = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if feed is None:
+            raise RuntimeError("a micro-batch without the id of its query cannot be replayed safely")
         stamped = rows.withColumn("inserted_at", F.current_timestamp()).select(*LANDING_COLUMNS)
         append_delivery(stamped, landing, feed, batch)
 
