@@ -14,11 +14,14 @@ gives no rows; other columns of the input are ignored unless named in ``keep``.
 from __future__ import annotations
 
 import base64
+import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -34,24 +37,38 @@ from pyspark.sql.types import (
 )
 
 # Characters of text in one block of the replay, and words whose ids a task remembers.
-BLOCK_CHARS = 4_000_000
-KEPT_WORDS = 400_000
+BLOCK_CHARS = 32_000_000
+KEPT_WORDS = 700_000
 
 _RIGHT_BITS = 20
+_NO_PAIR = 2**62
 
 
 class Vocabulary:
     """Ranks of byte strings, and every pair of known strings whose join is known as well."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.first = [ranks[bytes([value])] for value in range(256)]
-        self.pairs = {}
+        self.first = np.array([ranks[bytes([value])] for value in range(256)], np.int64)
+        joined = []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left << _RIGHT_BITS | right] = rank
+                    joined.append((left << _RIGHT_BITS | right, rank))
+        joined.sort()
+        self.pairs = np.array([pair for pair, _ in joined] + [_NO_PAIR], np.int64)
+        self.joins = np.array([rank for _, rank in joined] + [-1], np.int64)
+        # Tokens that have a merge of smaller rank than their own with some neighbour.
+        sides = (self.pairs[:-1] >> _RIGHT_BITS, self.pairs[:-1] & (1 << _RIGHT_BITS) - 1)
+        self.inverted = {
+            token for side in sides for token in side[self.joins[:-1] < side].tolist()
+        }
+        by_rank = sorted((rank, token) for token, rank in ranks.items())
+        lengths = np.zeros(by_rank[-1][0] + 2, np.int64)
+        for rank, token in by_rank:
+            lengths[rank + 1] = len(token)
+        self.bytes_at = np.cumsum(lengths)
+        self.bytes = np.frombuffer(b"".join(token for _, token in by_rank), np.uint8)
 
     @classmethod
     def parse(cls, lines: Iterable[bytes]) -> Vocabulary:
@@ -59,76 +76,143 @@ class Vocabulary:
         split = (line.split() for line in lines if line.strip())
         return cls({base64.b64decode(token): int(rank) for token, rank in split})
 
+    def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the join of two tokens, -1 where it is unknown."""
+        pair = left << _RIGHT_BITS | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.joins[at], -1)
 
-def replay_merges(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
-    """Ids of each word, all words merged together in rank order.
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that the ids stand for."""
+        return gathered(self.bytes, self.bytes_at, ids).tobytes()
+
+
+def gathered(values: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs ``values[offsets[n]:offsets[n + 1]]`` of each n in ``which``, joined."""
+    starts = offsets[which]
+    lengths = offsets[which + 1] - starts
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(starts - ends + lengths, lengths)]
+
+
+def replay_merges(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words, joined, and the offset of each word in them.
 
-    Positions are bytes of the joined words. Within a rank, positions go from left to right. A
-    merge may give a pair of smaller rank; the rest of the rank then waits for it, so each word
-    sees the lowest rank first, leftmost first.
+    The words are merged together in rank order. A place is the first byte of a token; the index
+    holds, by the rank of its merge, the places where a pair begins. All places of a rank merge at
+    once, left to right where they overlap. A few tokens have a merge of smaller rank than their
+    own; when such a token is made, each word makes one and then waits for the smaller rank.
     """
-    first, pairs = vocabulary.first, vocabulary.pairs
-    token: list[int] = []
-    starts = [0]
-    for word in words:
-        token += [first[value] for value in word]
-        starts.append(len(token))
+    lengths = np.array([len(word) for word in words], np.int64)
+    ends = np.cumsum(lengths)
+    token = vocabulary.first[np.frombuffer(b"".join(words), np.uint8)]
     size = len(token)
-    after = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    for start in starts:
-        if start < size:
-            before[start] = -1
-        if start:
-            after[start - 1] = -1
-
-    index: dict[int, list[int]] = {}
-
-    def note(left: int, right: int) -> None:
-        rank = pairs.get(token[left] << _RIGHT_BITS | token[right])
-        if rank is not None:
-            places = index.get(rank)
-            if places is None:
-                index[rank] = [left]
-                heappush(waiting, rank)
-            else:
-                places.append(left)
-
+    word_of = np.repeat(np.arange(len(words)), lengths)
+    after = np.arange(1, size + 1)
+    before = np.arange(-1, size - 1)
+    filled = lengths > 0
+    after[ends[filled] - 1] = -1
+    before[(ends - lengths)[filled]] = -1
+
+    index: dict[int, list[np.ndarray]] = {}
     waiting: list[int] = []
-    for left in range(size):
-        if after[left] >= 0:
-            note(left, after[left])
-    heapify(waiting)
+
+    def put(rank: int, places: np.ndarray) -> None:
+        if rank in index:
+            index[rank].append(places)
+        else:
+            index[rank] = [places]
+            heappush(waiting, rank)
+
+    def note(left: np.ndarray) -> None:
+        right = after[left]
+        left, right = left[right >= 0], right[right >= 0]
+        ranks = vocabulary.join(token[left], token[right])
+        left, ranks = left[ranks >= 0], ranks[ranks >= 0]
+        order = np.argsort(ranks, kind="stable")
+        left, ranks = left[order], ranks[order]
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                put(int(ranks[start]), left[start:end])
+
+    note(np.arange(size))
     while waiting:
         rank = heappop(waiting)
         places = index.pop(rank)
-        places.sort()
-        for n, left in enumerate(places):
-            right = after[left]
-            # A place is stale once a merge has taken it or its neighbour.
-            if token[left] < 0 or right < 0:
-                continue
-            if pairs.get(token[left] << _RIGHT_BITS | token[right]) != rank:
-                continue
-            token[left], token[right] = rank, -1
-            beyond = after[right]
-            after[left] = beyond
-            if beyond >= 0:
-                before[beyond] = left
-                note(left, beyond)
-            if before[left] >= 0:
-                note(before[left], left)
-            if waiting and waiting[0] < rank and n + 1 < len(places):
-                rest = places[n + 1 :]
-                if rank in index:
-                    index[rank] += rest
-                else:
-                    index[rank] = rest
-                    heappush(waiting, rank)
-                break
-    return [
-        [t for t in token[start:end] if t >= 0] for start, end in zip(starts, starts[1:])
-    ]
+        left = places[0] if len(places) == 1 else np.unique(np.concatenate(places))
+        # A place is stale once another merge has taken it or its neighbour.
+        right = after[left]
+        live = (token[left] >= 0) & (right >= 0)
+        left, right = left[live], right[live]
+        live = vocabulary.join(token[left], token[right]) == rank
+        left, right = left[live], right[live]
+        if not len(left):
+            continue
+        if (left[1:] == right[:-1]).any():
+            free = _without_overlap(left.tolist(), right.tolist())
+            left, right = left[free], right[free]
+        if rank in vocabulary.inverted:
+            of_word = word_of[left]
+            leading = np.ones(len(left), bool)
+            leading[1:] = of_word[1:] != of_word[:-1]
+            if not leading.all():
+                put(rank, left[~leading])
+                left, right = left[leading], right[leading]
+        token[left] = rank
+        token[right] = -1
+        beyond = after[right]
+        after[left] = beyond
+        inner = beyond >= 0
+        before[beyond[inner]] = left[inner]
+        previous = before[left]
+        note(np.unique(np.concatenate((left[inner], previous[previous >= 0]))))
+    alive = token >= 0
+    count = np.zeros(size + 1, np.int64)
+    np.cumsum(alive, out=count[1:])
+    return token[alive], np.concatenate(([0], count[ends]))
+
+
+def _without_overlap(left: list[int], right: list[int]) -> list[int]:
+    """Which places merge when each one taken bars the place of its right neighbour."""
+    free, barred = [], -1
+    for n, (here, there) in enumerate(zip(left, right)):
+        if here != barred:
+            free.append(n)
+            barred = there
+    return free
+
+
+class Splitter:
+    """Finds the words of a text by a pattern with letter and number classes.
+
+    Texts of characters below U+0250, on which the standard library and the pattern's own
+    language agree, go through the standard library with the classes written out; all other texts
+    through the full classes. Both give the same words.
+    """
+
+    _END = 0x250
+
+    def __init__(self, pattern: str):
+        self.full = regex.compile(pattern)
+        characters = [chr(code) for code in range(self._END)]
+        space = regex.compile(r"\s")
+        agreed = [c for c in characters if bool(space.match(c)) == bool(re.match(r"\s", c))]
+        self.other = re.compile(f"[^{''.join(map(re.escape, agreed))}]")
+        plain = pattern
+        for name in (r"\p{L}", r"\p{N}"):
+            members = "".join(re.escape(c) for c in characters if regex.match(name, c))
+            # Inside a class the members stand bare, elsewhere they are a class of their own.
+            parts = plain.split(name)
+            plain = parts[0]
+            for part in parts[1:]:
+                inside = plain.rfind("[") > plain.rfind("]")
+                plain += (members if inside else f"[{members}]") + part
+        self.plain = re.compile(plain) if r"\p{" not in plain else self.full
+
+    def __call__(self, text: str) -> list[str]:
+        return (self.full if self.other.search(text) else self.plain).findall(text)
 
 
 class Encoder:
@@ -136,12 +220,18 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, kept_words: int = KEPT_WORDS):
         self.vocabulary = vocabulary
-        self.split = regex.compile(pattern).findall
+        self.split = Splitter(pattern)
         self.kept_words = kept_words
-        self.known: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.decimals: list[str] = []
+        self.ids = np.zeros(0, np.int64)
+        self.offsets = np.zeros(1, np.int64)
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each text, block by block."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
+        """Ids of each text, as numbers and as decimals joined by spaces, block by block."""
         block, chars = [], 0
         for text in texts:
             block.append(text)
@@ -151,23 +241,40 @@ class Encoder:
                 block, chars = [], 0
         yield from self._encode_block(block)
 
-    def _encode_block(self, texts: list[str]) -> Iterator[list[int]]:
+    def _encode_block(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
         if len(self.known) > self.kept_words:
-            self.known = {}
+            self._forget()
         known = self.known
-        split = [self.split(text) for text in texts]
-        new = list({word for words in split for word in words}.difference(known))
-        ids = replay_merges([word.encode("utf-8", "surrogatepass") for word in new], self.vocabulary)
-        known.update(zip(new, ids))
-        for words in split:
-            out: list[int] = []
-            for word in words:
-                out += known[word]
-            yield out
-
-    def decode(self, ids: Iterable[int]) -> bytes:
-        """The bytes that the ids stand for."""
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
+        # Each distinct word gets the next number when it is first met; a text becomes numbers.
+        new: dict[str, int] = defaultdict(lambda: len(known) + len(new))
+        split = []
+        for text in texts:
+            numbers = [known[w] if w in known else new[w] for w in self.split(text)]
+            split.append(np.array(numbers, np.int32))
+        if new:
+            self._learn(list(new))
+            known.update(new)
+        decimals = self.decimals
+        for numbers in split:
+            yield (
+                gathered(self.ids, self.offsets, numbers),
+                " ".join([decimals[n] for n in numbers.tolist()]),
+            )
+
+    def _learn(self, words: list[str]) -> None:
+        ids, offsets = replay_merges([word.encode() for word in words], self.vocabulary)
+        values, cuts = ids.tolist(), offsets.tolist()
+        text_of = _decimal_texts(len(self.vocabulary.bytes_at))
+        self.decimals += [
+            " ".join([text_of[v] for v in values[start:end]]) for start, end in zip(cuts, cuts[1:])
+        ]
+        self.offsets = np.concatenate((self.offsets, offsets[1:] + self.offsets[-1]))
+        self.ids = np.concatenate((self.ids, ids))
+
+
+@lru_cache(maxsize=1)
+def _decimal_texts(count: int) -> list[str]:
+    return [str(number) for number in range(count)]
 
 
 @lru_cache(maxsize=2)
@@ -207,12 +314,12 @@ def encode_texts(
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             counts, of_ids, of_bytes, all_ids, ends = [], [], [], [], [0]
-            for ids in encoder.encode(texts):
+            for ids, decimals in encoder.encode(texts):
                 counts.append(len(ids))
-                of_ids.append(sha256(" ".join(map(_decimal, ids)).encode()).hexdigest())
-                of_bytes.append(sha256(encoder.decode(ids)).hexdigest())
+                of_ids.append(sha256(decimals.encode()).hexdigest())
+                of_bytes.append(sha256(encoder.vocabulary.decode(ids)).hexdigest())
                 if with_ids:
-                    all_ids.append(pa.array(ids, pa.int32()))
+                    all_ids.append(pa.array(ids.astype(np.int32)))
                     ends.append(ends[-1] + len(ids))
             columns = [batch.column(n) for n in range(len(keep))]
             columns += [pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]
@@ -223,13 +330,3 @@ def encode_texts(
 
     chosen = table.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     return chosen.mapInArrow(encode, StructType([*kept, *fields]))
-
-
-class _Decimals(dict):
-    def __missing__(self, number: int) -> str:
-        self[number] = text = str(number)
-        return text
-
-
-# Decimal text of each id, made when first needed; as many entries as the vocabulary has ids.
-_decimal = _Decimals().__getitem__
