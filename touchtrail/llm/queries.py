@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchtrail.llm import bpe, minhash
+from touchtrail.llm import bpe, minhash, passages
 from touchtrail.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ LLM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op2_byte_bpe,
+        op4_suffix_dedup,
         op6_minhash,
     )
 }
