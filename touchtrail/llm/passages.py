@@ -10,8 +10,9 @@ smaller id, or further left in the same document.
 2. Copies of whole pieces. Of pieces with equal anchor and equal bytes only the first one matters
    further on; all windows of the others start later.
 3. Columns. Pieces of one anchor that differ are compared by their suffixes. They are gathered in
-   blocks, and the Burrows-Wheeler transform and the common prefixes of a block's collection are
-   built column by column: each round inserts one symbol per piece, places the new suffixes by the
+   blocks and trimmed to windows of which another piece has at least the middle part. The
+   Burrows-Wheeler transform and the common prefixes of a block's collection are then built column
+   by column: each round inserts one symbol per piece, places the new suffixes by the
    ranks of their symbols, and derives the new common prefixes from range minima of the old ones.
    Suffixes that share 100 bytes are neighbours; all but the earliest one are removed windows.
    An anchor with more pieces than a block takes is dealt over several blocks, which pass on the
@@ -54,6 +55,9 @@ CHUNK = 1 << 16
 BLOCK = 300_000
 BLOCK_PIECES = 2_000
 
+# Windows that are looked at together when a piece is trimmed.
+CORE_STEP = 16
+
 _PLACE = np.uint64(2 * CHUNK - 1)
 _STEPS = powers(np.uint64(0x9E3779B97F4A7C15), 8)[1:]
 
@@ -95,7 +99,8 @@ def _least_place(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def pieces(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pieces of texts laid end to end: start, windows, anchor, hash of the bytes, text.
+    """Pieces of texts laid end to end: start, windows, anchor and its distance from the start,
+    hash of the bytes, text.
 
     Texts are cut into chunks; a piece never spans two texts or two chunks.
     """
@@ -123,7 +128,8 @@ def pieces(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[np.ndarray,
         np.cumsum(codes * power[: len(part)], out=total[1:])
         content = (total[begins + windows + WINDOW - 1] - total[begins]) * inverse[begins]
         content = mixed(content + windows.astype(np.uint64))
-        yield begins + start, windows, grams[places[begins]], content, owner[begins]
+        at = places[begins]
+        yield begins + start, windows, grams[at], at - begins, content, owner[begins]
         start += CHUNK
 
 
@@ -135,7 +141,7 @@ def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], every[offsets[0] : offsets[-1]]
 
 
-_PIECE = "doc_id long, lo long, windows long, anchor long, content long"
+_PIECE = "doc_id long, lo long, windows int, anchor long, gram int, content long"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +152,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = list(pieces(offsets, data))
         if not found:
             continue
-        at, windows, anchor, content, owner = map(np.concatenate, zip(*found))
+        at, windows, anchor, gram, content, owner = map(np.concatenate, zip(*found))
         doc, lo = ids[owner], at - offsets[owner]
         order = np.lexsort((lo, doc, content, anchor))
         again = np.zeros(len(order), bool)
@@ -159,13 +165,14 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = (
             doc,
             lo,
-            np.where(again, -windows, windows),
+            np.where(again, -windows, windows).astype(np.int32),
             anchor.view(np.int64),
+            gram.astype(np.int32),
             content.view(np.int64),
         )
         yield pa.RecordBatch.from_arrays(
             [pa.array(column[keep]) for column in columns],
-            ["doc_id", "lo", "windows", "anchor", "content"],
+            ["doc_id", "lo", "windows", "anchor", "gram", "content"],
         )
 
 
@@ -174,75 +181,90 @@ def column_index(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
     before. Strings are UTF-8, whose bytes stay below 0xF5.
 
     State: for every suffix inserted so far, in sorted order, the symbol before it (0 at the start
-    of its string) and its common prefix with its neighbour. A round inserts, for each string, the
-    suffix that is one symbol longer: sorting places by their symbol gives its rank.
+    of its string) and its common prefix with its neighbour; and the places of these symbols,
+    grouped by symbol. A round inserts, for each string, the suffix that is one symbol longer. Its
+    rank among all suffixes is the rank of its symbol among the grouped places.
     """
     count = len(offsets) - 1
-    lengths = np.diff(offsets)
     symbols = data + np.uint8(1)
     string = np.arange(count, dtype=np.int32)
     length = np.zeros(count, np.int32)
     common = np.zeros(count, np.int32)
     before = np.zeros(count, np.uint8)
-    filled = lengths > 0
-    before[filled] = symbols[offsets[1:][filled] - 1]
-    active = np.flatnonzero(filled)
-    newest = active.copy()
+    active = np.flatnonzero(np.diff(offsets) > 0)
+    before[active] = symbols[offsets[active + 1] - 1]
+    grouped = np.argsort(before, kind="stable")[count - len(active) :].astype(np.int32)
+    ends = np.cumsum(np.bincount(before[active], minlength=256))
+    rank = np.empty(count, np.int64)
+    rank[grouped] = np.arange(len(grouped))
+    rank = rank[active]
     rounds = 0
     while len(active):
         rounds += 1
-        size = len(before)
-        by_symbol = np.argsort(before, kind="stable")
-        by_symbol = by_symbol[np.count_nonzero(before == 0) :]
-        rank = np.empty(size, np.int64)
-        rank[by_symbol] = np.arange(len(by_symbol))
-        new = rank[newest]
-        # Common prefixes change at the new suffixes and at their right neighbours.
-        touched = np.zeros(len(by_symbol) + 1, bool)
-        touched[new] = True
-        touched[new + 1] = True
-        touched = np.flatnonzero(touched[:-1])
-        left = by_symbol[touched - 1]
-        right = by_symbol[touched]
-        related = (touched > 0) & (before[left] == before[right])
+        # Common prefixes change at the new suffixes and at their right neighbours: one more than
+        # the least common prefix between the two places of the symbol.
+        touched = np.union1d(rank, rank + 1)
+        touched = touched[touched < len(grouped)]
+        left, right = grouped[touched - 1], grouped[touched]
+        related = np.flatnonzero((touched > 0) & (before[left] == before[right]))
         least = np.zeros(len(touched), np.int32)
-        if related.any():
+        if len(related):
             low, high = left[related] + 1, right[related] + 1
             order = np.argsort(low)
             pairs = np.stack((low[order], high[order]), axis=1).ravel()
-            minima = np.minimum.reduceat(np.append(common, 0), pairs)[::2] + 1
-            slots = np.flatnonzero(related)[order]
-            least[slots] = minima
+            minima = np.minimum.reduceat(np.append(common, np.int32(0)), pairs)[::2]
+            least[related[order]] = minima + 1
         # The empty suffixes come first, then all others in the order of their symbols.
-        places = count + new
-        old = np.ones(size + len(active), bool)
+        places = count + rank
+        old = np.ones(len(before) + len(active), bool)
         old[places] = False
         longer = offsets[active + 1] - rounds - 1
-        follows = np.where(
-            longer >= offsets[active], symbols[np.maximum(longer, 0)], 0
-        ).astype(np.uint8)
-
-        def grown(values: np.ndarray, added: np.ndarray) -> np.ndarray:
-            out = np.empty(len(old), values.dtype)
-            out[old] = values
-            out[places] = added
-            return out
-
-        before = grown(before, follows)
-        string = grown(string, active.astype(np.int32))
-        length = grown(length, np.full(len(active), rounds, np.int32))
-        common = grown(common, np.zeros(len(active), np.int32))
+        going = longer >= offsets[active]
+        follows = np.where(going, symbols[np.maximum(longer, 0)], np.uint8(0))
+        before = _grown(old, places, before, follows)
+        string = _grown(old, places, string, active)
+        length = _grown(old, places, length, rounds)
+        common = _grown(old, places, common, 0)
         common[count + touched] = least
-        going = follows > 0
-        active, newest = active[going], places[going]
+
+        moved = np.flatnonzero(old).astype(np.int32)
+        grouped = moved[grouped]
+        active, places, follows = active[going], places[going], follows[going]
+        order = np.lexsort((places, follows))
+        sorted_places, sorted_follows = places[order], follows[order]
+        cuts = np.flatnonzero(np.diff(sorted_follows, prepend=-1, append=-1))
+        slots = np.empty(len(order), np.int64)
+        for start, end in zip(cuts.tolist(), cuts[1:].tolist()):
+            symbol = int(sorted_follows[start])
+            base = int(ends[symbol - 1])
+            own = grouped[base : int(ends[symbol])]
+            slots[start:end] = base + np.searchsorted(own, sorted_places[start:end])
+        grouped = np.insert(grouped, slots, sorted_places)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = slots + np.arange(len(order))
+        ends += np.cumsum(np.bincount(follows, minlength=256))
     return string, length, common
 
 
+def _grown(old: np.ndarray, places: np.ndarray, values: np.ndarray, added) -> np.ndarray:
+    out = np.empty(len(old), values.dtype)
+    out[old] = values
+    out[places] = added
+    return out
+
+
 def _columns(block: pa.Table) -> pa.Table:
     """Removed windows of a block's pieces as spans; of a dealt block also its first windows."""
     dealt = block.column("dealt")[0].as_py()
     doc, lo = block.column("doc_id").to_numpy(), block.column("lo").to_numpy()
     texts = block.column("bytes").to_pylist()
+    if not dealt:
+        anchors, grams = block.column("anchor").to_pylist(), block.column("gram").to_pylist()
+        trimmed = _trimmed(texts, anchors, grams)
+        texts = [text[start:end] for text, (start, end) in zip(texts, trimmed)]
+        lo = lo + np.array([start for start, _ in trimmed])
+        filled = np.array([bool(text) for text in texts])
+        doc, lo, texts = doc[filled], lo[filled], [text for text in texts if text]
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(text) for text in texts], out=offsets[1:])
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -277,6 +299,37 @@ def _columns(block: pa.Table) -> pa.Table:
     return pa.concat_tables(out)
 
 
+def _trimmed(texts: list[bytes], anchors: list[int], grams: list[int]) -> list[tuple[int, int]]:
+    """The part of each piece whose windows another piece of its anchor may have as well.
+
+    Windows that start within one step of each other share a core around the gram. Where no other
+    piece has that core at the gram, none of these windows occurs in another piece.
+    """
+    reach = WINDOW - GRAM
+    cores: dict[tuple, int] = {}
+    found = []
+    for text, anchor, gram in zip(texts, anchors, grams):
+        own = []
+        for distance in range(0, reach + 1, CORE_STEP):
+            nearest = min(distance + CORE_STEP - 1, reach)
+            # Starts gram - nearest to gram - distance; all of them hold this core.
+            low, high = gram - distance, gram - nearest + WINDOW
+            first, last = max(gram - nearest, 0), min(low, len(text) - WINDOW)
+            if first <= last:
+                core = (anchor, distance, text[max(low, 0) : high])
+                cores[core] = cores.get(core, 0) + 1
+                own.append((core, first, last))
+        found.append(own)
+    parts = []
+    for own in found:
+        shared = [(first, last) for core, first, last in own if cores[core] > 1]
+        if shared:
+            parts.append((min(f for f, _ in shared), max(last for _, last in shared) + WINDOW))
+        else:
+            parts.append((0, 0))
+    return parts
+
+
 def _spans(doc: np.ndarray, lo: np.ndarray, width: int) -> pa.Table:
     """Runs of neighbouring starts as spans (doc_id, lo, hi); key is null."""
     order = np.lexsort((lo, doc))
@@ -299,13 +352,14 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each wanted piece."""
     for batch in batches:
         rows = zip(batch.column("doc_id").to_pylist(), batch.column("wanted"), batch.column("text"))
-        doc, lo, anchor, content, cut = [], [], [], [], []
+        doc, lo, anchor, gram, content, cut = [], [], [], [], [], []
         for doc_id, wanted, text in rows:
             data = (text.as_py() or "").encode()
             for piece in wanted.as_py():
                 doc.append(doc_id)
                 lo.append(piece["lo"])
                 anchor.append(piece["anchor"])
+                gram.append(piece["gram"])
                 content.append(piece["content"])
                 cut.append(data[piece["lo"] : piece["lo"] + piece["windows"] + WINDOW - 1])
         yield pa.RecordBatch.from_arrays(
@@ -313,10 +367,11 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(doc, pa.int64()),
                 pa.array(lo, pa.int64()),
                 pa.array(anchor, pa.int64()),
+                pa.array(gram, pa.int32()),
                 pa.array(content, pa.int64()),
                 pa.array(cut, pa.binary()),
             ],
-            ["doc_id", "lo", "anchor", "content", "bytes"],
+            ["doc_id", "lo", "anchor", "gram", "content", "bytes"],
         )
 
 
@@ -333,7 +388,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     shared = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     candidates = written(found.join(shared, "anchor", "left_semi"), "pieces")
 
-    place = F.struct("doc_id", "lo", "windows")
+    place = F.struct("doc_id", "lo", "windows", "gram")
     firsts = written(
         candidates.where("windows > 0")
         .groupBy("anchor", "content")
@@ -358,16 +413,18 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     wanted = (
         firsts.join(several.select("anchor"), "anchor", "left_semi")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("lo", "windows", "anchor", "content")).alias("wanted"))
+        .agg(F.collect_list(F.struct("lo", "windows", "anchor", "gram", "content")).alias("wanted"))
     )
     cut = wanted.join(texts, "doc_id").mapInArrow(
-        _cut_out, "doc_id long, lo long, anchor long, content long, bytes binary"
+        _cut_out, "doc_id long, lo long, anchor long, gram int, content long, bytes binary"
     )
     deal = F.ceil(F.col("n") / BLOCK_PIECES)
     salt = F.pmod(F.xxhash64("content"), deal)
     placed = cut.join(several.select("anchor", "n"), "anchor").select(
         "doc_id",
         "lo",
+        "anchor",
+        "gram",
         "bytes",
         (deal > 1).alias("dealt"),
         F.when(deal > 1, F.xxhash64("anchor", salt))
