@@ -258,13 +258,23 @@ def _columns(block: pa.Table) -> pa.Table:
     dealt = block.column("dealt")[0].as_py()
     doc, lo = block.column("doc_id").to_numpy(), block.column("lo").to_numpy()
     texts = block.column("bytes").to_pylist()
+    copies = []
     if not dealt:
         anchors, grams = block.column("anchor").to_pylist(), block.column("gram").to_pylist()
         trimmed = _trimmed(texts, anchors, grams)
         texts = [text[start:end] for text, (start, end) in zip(texts, trimmed)]
         lo = lo + np.array([start for start, _ in trimmed])
-        filled = np.array([bool(text) for text in texts])
-        doc, lo, texts = doc[filled], lo[filled], [text for text in texts if text]
+        # What is left of two pieces may be equal; then the first one stands for both.
+        first_of: dict[bytes, int] = {}
+        chosen = []
+        for n in np.lexsort((lo, doc)).tolist():
+            if texts[n]:
+                first = first_of.setdefault(texts[n], n)
+                if first == n:
+                    chosen.append(n)
+                elif (doc[n], lo[n]) != (doc[first], lo[first]):
+                    copies.append((doc[n], lo[n], lo[n] + len(texts[n])))
+        doc, lo, texts = doc[chosen], lo[chosen], [texts[n] for n in chosen]
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(text) for text in texts], out=offsets[1:])
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -282,6 +292,9 @@ def _columns(block: pa.Table) -> pa.Table:
     lead = np.flatnonzero(first)[np.cumsum(first) - 1]
     again = (owner != owner[lead]) | (start != start[lead])
     out = [_spans(owner[again], start[again], WINDOW)]
+    if copies:
+        columns = dict(zip(("doc_id", "lo", "hi"), np.array(copies, np.int64).T))
+        out.append(pa.table({**columns, "key": pa.nulls(len(copies), pa.binary())}))
     if dealt:
         at = offsets[string[first]] + start[first] - lo[string[first]]
         view = memoryview(data)
