@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchtrail.llm import bpe, minhash, passages
+from touchtrail.llm import bpe, decontaminate, language, minhash, passages
 from touchtrail.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,12 +33,29 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(read_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op2_byte_bpe,
         op4_suffix_dedup,
         op6_minhash,
+        op7_decontaminate,
+        op10_language,
+        pipeline,
     )
 }
 
