@@ -33,6 +33,7 @@ from touchtrail.llm.common import (
     window_hashes,
     word_hashes,
     word_spans,
+    written,
 )
 
 WIDTH = 5
@@ -201,7 +202,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("item_id")
         .agg(F.countDistinct("at").alias("item_windows"))
     )
-    hits = found.join(items, ["view", "hash"])
+    hits = written(found.join(items, ["view", "hash"]), "hits")
 
     # Several windows of a document may match one window of the item; that is one match.
     matched = hits.groupBy("doc_id", "item_id").agg(

@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchtrail.llm import bpe, decontaminate, language, minhash, passages
+from touchtrail.llm import bpe, chat, decontaminate, language, main_text, minhash, passages, url_filter
 from touchtrail.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 
+# The rules that the urls are judged by.
+URL_RULES = (
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+)
+# Fixed value: what both turns of the added conversation say.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(
         read_table(spark, sf_dir, "documents"),
@@ -25,10 +37,22 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passage_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings."""
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
+    added = spark.createDataFrame(rows, given.schema)
+    return chat.conversation_digests(chat.format_conversations(given.unionByName(added)))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -39,6 +63,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(read_table(spark, sf_dir, "documents"))
 
@@ -51,12 +79,45 @@ LLM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op2_byte_bpe,
+        op3_url_filter,
         op4_suffix_dedup,
+        op5_chat,
         op6_minhash,
         op7_decontaminate,
+        op9_main_text,
         op10_language,
         pipeline,
     )
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {
+    "op5_chat": """
+        with every as (
+            select conv_id, turn, role, text from conversations
+            union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+            union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+                case when role = 'assistant' then coalesce(text, '') else '' end as loss,
+                lag(role) over (partition by conv_id order by turn, role, text) as before
+            from every
+        ), sized as (
+            select *, length(replace(replace(replace(replace(
+                    role || chr(10) || text, '&', '&amp;'), '<', '&lt;'), '|', '&#124;'),
+                    '[', '&#91;')) - 1 + length('<||><|end|>') as formatted,
+                coalesce(before, 'start') || '>' || role in ('start>system', 'start>user',
+                    'system>user', 'user>assistant', 'assistant>user') as follows
+            from turns
+        ), whole as (
+            select conv_id, count(*) as n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as said,
+                string_agg(loss, '' order by turn, role, text) as loss,
+                sum(formatted) + length('<s></s>') as formatted_chars,
+                bool_and(follows) and bool_or(role in ('user', 'assistant')) as valid
+            from sized group by conv_id
+        )
+        select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars,
+            sha256(loss) as loss_sha256, cast(formatted_chars as bigint) as formatted_chars, valid
+        from whole
+    """,
+}
