@@ -8,7 +8,18 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchtrail.llm import bpe, chat, decontaminate, language, main_text, minhash, passages, url_filter
+from touchtrail.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    language,
+    main_text,
+    minhash,
+    near_vectors,
+    passages,
+    quality,
+    url_filter,
+)
 from touchtrail.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +39,10 @@ URL_RULES = (
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(
         read_table(spark, sf_dir, "documents"),
@@ -63,6 +78,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(read_table(spark, sf_dir, "pages"))
 
@@ -78,12 +99,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_near_vectors,
         op2_byte_bpe,
         op3_url_filter,
         op4_suffix_dedup,
         op5_chat,
         op6_minhash,
         op7_decontaminate,
+        op8_quality,
         op9_main_text,
         op10_language,
         pipeline,
