@@ -36,9 +36,11 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from touchtrail.llm.common import gathered
+
 # Characters of text in one block of the replay, and words whose ids a task remembers.
-BLOCK_CHARS = 32_000_000
-KEPT_WORDS = 700_000
+BLOCK_CHARS = 8_000_000
+KEPT_WORDS = 300_000
 
 _RIGHT_BITS = 20
 _NO_PAIR = 2**62
@@ -87,15 +89,6 @@ class Vocabulary:
         return gathered(self.bytes, self.bytes_at, ids).tobytes()
 
 
-def gathered(values: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """The runs ``values[offsets[n]:offsets[n + 1]]`` of each n in ``which``, joined."""
-    starts = offsets[which]
-    lengths = offsets[which + 1] - starts
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return values[np.arange(total) + np.repeat(starts - ends + lengths, lengths)]
-
-
 def replay_merges(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words, joined, and the offset of each word in them.
 
@@ -277,10 +270,10 @@ def _decimal_texts(count: int) -> list[str]:
     return [str(number) for number in range(count)]
 
 
-@lru_cache(maxsize=2)
-def _encoder(file_name: str, pattern: str) -> Encoder:
+@lru_cache(maxsize=1)
+def _vocabulary(file_name: str) -> Vocabulary:
     with open(SparkFiles.get(file_name), "rb") as lines:
-        return Encoder(Vocabulary.parse(lines), pattern)
+        return Vocabulary.parse(lines)
 
 
 def encode_texts(
@@ -310,7 +303,8 @@ def encode_texts(
     names = [*keep, *(f.name for f in fields)]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(file_name, pattern)
+        # The words that a task remembers go with it; an idle worker holds the vocabulary only.
+        encoder = Encoder(_vocabulary(file_name), pattern)
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             counts, of_ids, of_bytes, all_ids, ends = [], [], [], [], [0]

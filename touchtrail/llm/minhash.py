@@ -6,10 +6,13 @@ buckets: at a Jaccard similarity of 0.75 a pair shares none of 32 bands with a p
 3e-8.
 
 Texts with equal sets are one class from the start, so a group of copies counts as one member
-everywhere. A bucket is never expanded into all pairs: members are compared with a leader, links
-found this way join them, and only members that are still apart meet further leaders. Before the
-sets of a pair are fetched, its signatures estimate the similarity; a pair with a true similarity
-of 0.75 has an estimate below 0.4 with a probability of less than 1e-7.
+everywhere. A bucket is never expanded into rows of pairs. First its members are compared with a
+leader; before the sets of such a pair are fetched, its signatures estimate the similarity, and a
+pair with a true similarity of 0.75 has an estimate below 0.4 with a probability of less than 1e-7.
+Buckets whose members are still apart form families, connected over common members. A family is cut
+into blocks of bounded size, each member goes to the blocks once per partner block, and a task
+compares two blocks on full sets: pairs that share a band and are not joined yet. It reports one
+link per join.
 
 Defined cases: a null, empty or blank text has an empty set and is linked with nothing; a text of
 fewer words than a shingle has one shingle, all its words; repeated rows give repeated results; a
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from touchtrail.llm.common import (
     components,
+    gathered,
     lowered,
     mixed,
     text_blocks,
@@ -44,8 +48,9 @@ PERMUTATIONS = 48
 BAND_VALUES = 3
 # Pairs whose signatures agree in a smaller share of values are not looked at more closely.
 LEAST_ESTIMATE = 0.4
-# Leaders that a bucket may send to all its members in one round.
-LEADERS = 256
+# Members of a block of a family, and bytes of their sets.
+BLOCK_MEMBERS = 1_024
+BLOCK_BYTES = 12_000_000
 
 _rng = np.random.Generator(np.random.PCG64(6))
 _FLIP = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
@@ -245,7 +250,11 @@ def _root_maps(texts: DataFrame, signed: DataFrame, buckets: DataFrame) -> list[
         signed.where("node is not null")
         .join(nodes, "node", "left_semi")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")),
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.first("sketch").alias("sketch"),
+            F.first("bands").alias("bands"),
+        ),
         "sketches",
     )
     sets = written(
@@ -260,51 +269,85 @@ def _root_maps(texts: DataFrame, signed: DataFrame, buckets: DataFrame) -> list[
         of_b = table.select(F.col("node").alias("b"), F.col(column).alias("of_b"))
         return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "of_a", "of_b")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        likely = sided(pairs, chosen, "sketch").mapInArrow(_estimate, "a binary, b binary")
-        links = sided(likely, sets, "shingles").mapInArrow(_confirm, "a binary, b binary")
-        return written(links, "links")
-
-    links = confirmed(
-        buckets.where("node <> leader")
-        .select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        .distinct()
+    pairs = buckets.where("node <> leader").select(
+        F.col("leader").alias("a"), F.col("node").alias("b")
     )
-    maps: list[DataFrame] = []
-    apart = buckets.where("node <> leader").select("band", "node")
-    while True:
-        if not links.isEmpty():
-            ends = links.select(F.col("a").alias("node"), "b")
-            ends = _with_root(ends, maps).select(F.col("root").alias("a"), F.col("b").alias("node"))
-            ends = _with_root(ends, maps).select("a", F.col("root").alias("b"))
-            maps.append(components(ends))
-        labelled = _with_root(apart, maps)
-        groups = labelled.groupBy("band", "root").agg(F.count("*").alias("size"))
-        largest = (
-            groups.groupBy("band")
-            .agg(F.count("*").alias("n"), F.max(F.struct("size", "root")).alias("top"))
-            .where("n > 1")
-            .select("band", F.col("top.root").alias("top"))
-        )
-        apart = written(labelled.join(largest, "band"), "apart")
-        if apart.isEmpty():
-            return maps
-        # Leaders come from outside the largest group of a bucket, so a bucket of one large group
-        # and a few strangers is done once the strangers have met everyone.
-        slot = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
-        leaders = (
-            apart.where("root <> top")
-            .groupBy("band", slot.alias("slot"))
-            .agg(F.min(F.struct("node", "root")).alias("lead"))
-            .select("band", F.col("lead.node").alias("lead"), F.col("lead.root").alias("lead_root"))
-        )
-        leaders = written(leaders, "leaders")
-        pairs = (
-            apart.join(leaders, "band")
-            .where("root <> lead_root")
-            .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
-            .distinct()
+    likely = sided(pairs.distinct(), chosen, "sketch").mapInArrow(_estimate, "a binary, b binary")
+    links = sided(likely, sets, "shingles").mapInArrow(_confirm, "a binary, b binary")
+    maps = [components(written(links, "links"))]
+
+    # Buckets with members of several roots, without their leader, which has met everyone.
+    labelled = _with_root(buckets.where("node <> leader").select("band", "node"), maps)
+    several = (
+        labelled.groupBy("band")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("a"))
+        .where("low <> high")
+        .select("band", "a")
+    )
+    apart = written(labelled.join(several, "band").select("a", F.col("node").alias("b")), "apart")
+    families = components(apart).select("node", F.col("root").alias("family"))
+    whole = written(
+        _with_root(families, maps).join(chosen.select("node", "bands"), "node").join(sets, "node"),
+        "families",
+    )
+    blocks = whole.groupBy("family").agg(
+        F.greatest(
+            F.ceil(F.count("*") / BLOCK_MEMBERS),
+            F.ceil(F.sum(F.length("shingles")) / BLOCK_BYTES),
         )
-        links = confirmed(pairs)
-        used = leaders.select("band", F.col("lead").alias("node"))
-        apart = apart.select("band", "node").join(used, ["band", "node"], "left_anti")
+        .cast("int")
+        .alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
+    dealt = (
+        whole.join(blocks, "family")
+        .withColumn("block", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .drop("blocks", "other")
+    )
+    joins = written(
+        dealt.groupBy("family", "low", "high").applyInArrow(_join_blocks, "a binary, b binary"),
+        "joins",
+    )
+    ends = _with_root(joins.select(F.col("a").alias("node"), "b"), maps)
+    ends = ends.select(F.col("root").alias("a"), F.col("b").alias("node"))
+    ends = _with_root(ends, maps).select("a", F.col("root").alias("b"))
+    return [*maps, components(ends)]
+
+
+def _join_blocks(table: pa.Table) -> pa.Table:
+    """Links between two blocks of a family, or within one, that join what was apart."""
+    node, block = table.column("node").to_pylist(), table.column("block").to_numpy()
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    bands = np.array(table.column("bands").to_pylist(), np.int64)
+    raw = table.column("shingles").to_pylist()
+    sizes = np.array([len(text) // 8 for text in raw])
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    known, ids = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+    # A label per root; labels change as links are found.
+    label = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)[1]
+    present = np.zeros(len(known), bool)
+    first, second = [], []
+    for x in np.flatnonzero(block == low).tolist():
+        partner = (block == high) & (label != label[x])
+        if low == high:
+            partner[: x + 1] = False
+        at = np.flatnonzero(partner)
+        alike = 100 * np.minimum(sizes[at], sizes[x]) >= THRESHOLD * np.maximum(sizes[at], sizes[x])
+        at = at[alike]
+        at = at[(bands[at] == bands[x]).any(axis=1)]
+        if not len(at):
+            continue
+        own = ids[offsets[x] : offsets[x + 1]]
+        present[own] = True
+        starts = np.concatenate(([0], np.cumsum(sizes[at])[:-1]))
+        common = np.add.reduceat(present[gathered(ids, offsets, at)].astype(np.int32), starts)
+        present[own] = False
+        for y in at[100 * common >= THRESHOLD * (sizes[at] + sizes[x] - common)].tolist():
+            if label[y] != label[x]:
+                label[label == label[y]] = label[x]
+                first.append(node[x])
+                second.append(node[y])
+    return pa.table({"a": pa.array(first, pa.binary()), "b": pa.array(second, pa.binary())})
