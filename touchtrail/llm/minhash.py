@@ -16,7 +16,8 @@ link per join.
 
 Defined cases: a null, empty or blank text has an empty set and is linked with nothing; a text of
 fewer words than a shingle has one shingle, all its words; repeated rows give repeated results; a
-null doc_id takes part in no link; an empty table gives no rows; other columns are ignored.
+null doc_id takes part in no link; an empty table gives no rows; other columns are ignored. A doc_id
+stands for one text.
 """
 
 from __future__ import annotations
@@ -142,12 +143,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, sets in shingle_sets(batch.column(0)):
-            full = [s for s in sets if len(s)]
+        for first, sets in shingle_sets(batch.column(1)):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_node(s) for s in full], pa.binary()),
-                    pa.array([s.tobytes() for s in full], pa.binary()),
+                    batch.column(0).slice(first, len(sets)),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
                 ["node", "shingles"],
             )
@@ -201,25 +201,26 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         ),
         "signatures",
     )
-    # One member per distinct set; the document with the smallest id stands for it.
-    classes = (
-        signed.where("node is not null and doc_id is not null")
-        .groupBy("node")
-        .agg(F.first("bands").alias("bands"))
+    # One member per distinct set; the document with the smallest id stands for it from here on.
+    own = signed.where("node is not null and doc_id is not null")
+    classes = own.groupBy("node").agg(
+        F.min("doc_id").alias("id"),
+        *(F.first(name).alias(name) for name in ("n_shingles", "sketch", "bands")),
     )
-    members = classes.select("node", F.explode("bands").alias("band"))
+    classes = written(classes, "classes")
+    members = classes.select("id", F.explode("bands").alias("band"))
     shared = (
         members.groupBy("band")
-        .agg(F.count("*").alias("size"), F.min("node").alias("leader"))
+        .agg(F.count("*").alias("size"), F.min("id").alias("leader"))
         .where("size > 1")
     )
-    buckets = written(members.join(shared.drop("size"), "band"), "buckets")
-    maps = _root_maps(texts, signed, buckets)
+    buckets = members.join(shared.drop("size"), "band").withColumnRenamed("id", "node")
+    maps = _root_maps(texts, classes, written(buckets, "buckets"))
 
-    first_ids = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"))
-    rooted = _with_root(first_ids, maps)
-    of_root = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = rooted.join(of_root, "root").select("node", "component_id")
+    ids = classes.select(F.col("node").alias("shingle_set"), F.col("id").alias("node"))
+    rooted = _with_root(ids, maps)
+    of_root = rooted.groupBy("root").agg(F.min("node").alias("component_id"))
+    named = rooted.join(of_root, "root").select(F.col("shingle_set").alias("node"), "component_id")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
         signed.select("doc_id", "n_shingles", "node")
@@ -243,24 +244,19 @@ def _with_root(table: DataFrame, maps: list[DataFrame]) -> DataFrame:
     return table
 
 
-def _root_maps(texts: DataFrame, signed: DataFrame, buckets: DataFrame) -> list[DataFrame]:
+def _root_maps(texts: DataFrame, classes: DataFrame, buckets: DataFrame) -> list[DataFrame]:
     """Maps from nodes to roots that join all that the members of any bucket have in links."""
-    nodes = buckets.select("node").distinct()
+    nodes = buckets.select(F.col("node").alias("id")).distinct()
     chosen = written(
-        signed.where("node is not null")
-        .join(nodes, "node", "left_semi")
-        .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            F.first("sketch").alias("sketch"),
-            F.first("bands").alias("bands"),
+        classes.join(nodes, "id", "left_semi").select(
+            F.col("id").alias("node"), "n_shingles", "sketch", "bands"
         ),
         "sketches",
     )
     sets = written(
-        texts.join(chosen.select("doc_id"), "doc_id", "left_semi")
-        .select("text")
-        .mapInArrow(_sets, "node binary, shingles binary"),
+        texts.join(chosen.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(
+            _sets, "node long, shingles binary"
+        ),
         "shingle-sets",
     )
 
@@ -272,8 +268,8 @@ def _root_maps(texts: DataFrame, signed: DataFrame, buckets: DataFrame) -> list[
     pairs = buckets.where("node <> leader").select(
         F.col("leader").alias("a"), F.col("node").alias("b")
     )
-    likely = sided(pairs.distinct(), chosen, "sketch").mapInArrow(_estimate, "a binary, b binary")
-    links = sided(likely, sets, "shingles").mapInArrow(_confirm, "a binary, b binary")
+    likely = sided(pairs.distinct(), chosen, "sketch").mapInArrow(_estimate, "a long, b long")
+    links = sided(likely, sets, "shingles").mapInArrow(_confirm, "a long, b long")
     maps = [components(written(links, "links"))]
 
     # Buckets with members of several roots, without their leader, which has met everyone.
@@ -308,7 +304,7 @@ def _root_maps(texts: DataFrame, signed: DataFrame, buckets: DataFrame) -> list[
         .drop("blocks", "other")
     )
     joins = written(
-        dealt.groupBy("family", "low", "high").applyInArrow(_join_blocks, "a binary, b binary"),
+        dealt.groupBy("family", "low", "high").applyInArrow(_join_blocks, "a long, b long"),
         "joins",
     )
     ends = _with_root(joins.select(F.col("a").alias("node"), "b"), maps)
@@ -319,7 +315,7 @@ def _root_maps(texts: DataFrame, signed: DataFrame, buckets: DataFrame) -> list[
 
 def _join_blocks(table: pa.Table) -> pa.Table:
     """Links between two blocks of a family, or within one, that join what was apart."""
-    node, block = table.column("node").to_pylist(), table.column("block").to_numpy()
+    node, block = table.column("node").to_numpy(), table.column("block").to_numpy()
     low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
     bands = np.array(table.column("bands").to_pylist(), np.int64)
     raw = table.column("shingles").to_pylist()
@@ -327,7 +323,7 @@ def _join_blocks(table: pa.Table) -> pa.Table:
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     known, ids = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
     # A label per root; labels change as links are found.
-    label = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)[1]
+    label = table.column("root").to_numpy().copy()
     present = np.zeros(len(known), bool)
     first, second = [], []
     for x in np.flatnonzero(block == low).tolist():
@@ -350,4 +346,4 @@ def _join_blocks(table: pa.Table) -> pa.Table:
                 label[label == label[y]] = label[x]
                 first.append(node[x])
                 second.append(node[y])
-    return pa.table({"a": pa.array(first, pa.binary()), "b": pa.array(second, pa.binary())})
+    return pa.table({"a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
