@@ -20,9 +20,11 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -39,8 +41,8 @@ from pyspark.sql.types import (
 from touchtrail.llm.common import gathered
 
 # Characters of text in one block of the replay, and words whose ids a task remembers.
-BLOCK_CHARS = 8_000_000
-KEPT_WORDS = 300_000
+BLOCK_CHARS = 6_000_000
+KEPT_WORDS = 200_000
 
 _RIGHT_BITS = 20
 _NO_PAIR = 2**62
@@ -220,7 +222,7 @@ class Encoder:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.decimals: list[str] = []
-        self.ids = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
         self.offsets = np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
@@ -262,7 +264,7 @@ class Encoder:
             " ".join([text_of[v] for v in values[start:end]]) for start, end in zip(cuts, cuts[1:])
         ]
         self.offsets = np.concatenate((self.offsets, offsets[1:] + self.offsets[-1]))
-        self.ids = np.concatenate((self.ids, ids))
+        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
 
 
 @lru_cache(maxsize=1)
@@ -276,6 +278,15 @@ def _vocabulary(file_name: str) -> Vocabulary:
         return Vocabulary.parse(lines)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about a block of text each, so that results leave as they are made."""
+    sizes = pc.binary_length(batch.column(batch.num_columns - 1)).to_numpy(zero_copy_only=False)
+    block = np.cumsum(sizes) // BLOCK_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(batch)]
+    for start, end in zip(cuts, cuts[1:]):
+        yield batch.slice(start, end - start)
+
+
 def encode_texts(
     table: DataFrame,
     ranks_path: str,
@@ -305,7 +316,7 @@ def encode_texts(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The words that a task remembers go with it; an idle worker holds the vocabulary only.
         encoder = Encoder(_vocabulary(file_name), pattern)
-        for batch in batches:
+        for batch in chain.from_iterable(map(_parts, batches)):
             texts = batch.column(len(keep)).to_pylist()
             counts, of_ids, of_bytes, all_ids, ends = [], [], [], [], [0]
             for ids, decimals in encoder.encode(texts):
@@ -313,7 +324,7 @@ def encode_texts(
                 of_ids.append(sha256(decimals.encode()).hexdigest())
                 of_bytes.append(sha256(encoder.vocabulary.decode(ids)).hexdigest())
                 if with_ids:
-                    all_ids.append(pa.array(ids.astype(np.int32)))
+                    all_ids.append(pa.array(ids))
                     ends.append(ends[-1] + len(ids))
             columns = [batch.column(n) for n in range(len(keep))]
             columns += [pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]
@@ -321,6 +332,7 @@ def encode_texts(
                 flat = pa.concat_arrays(all_ids) if all_ids else pa.array([], pa.int32())
                 columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
             yield pa.RecordBatch.from_arrays(columns, names)
+        pa.default_memory_pool().release_unused()
 
     chosen = table.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     return chosen.mapInArrow(encode, StructType([*kept, *fields]))
