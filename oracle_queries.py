@@ -249,8 +249,13 @@ def oracle_queries() -> dict[str, str]:
             SELECT *, 1 AS origin FROM arrived UNION ALL SELECT *, 1 AS origin FROM arrived
         ), {_deduped("twice")} SELECT * FROM staged""",
         "stream_first_deliveries": f"{web}, {_ARRIVED} SELECT * FROM arrived",
+        "stream_late_rows": f"{web}, {_ARRIVED} SELECT * FROM arrived",
         "rebuild": f"{month} SELECT * FROM marts",
         "rebuild_tests": f"""{month} {_test_rows(_REBUILD_TESTS)}
         UNION ALL SELECT 'marts', 'revenue', 'reconciles', count(*) FROM ({_TOTALS}) t
-            WHERE first_click <> conversions OR last_click <> conversions""",
+            WHERE first_click <> conversions OR last_click <> conversions
+        UNION ALL SELECT 'marts', 'revenue', 'strict', count(*) FROM (
+            SELECT c.conversion_id FROM conversions c LEFT JOIN marts m
+            ON m.conversion_id = c.conversion_id AND m.revenue IS NOT DISTINCT FROM c.revenue
+            GROUP BY c.conversion_id HAVING count(m.conversion_id) <> 2) t""",
     }

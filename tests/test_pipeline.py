@@ -50,7 +50,7 @@ def test_rebuild_twice_equals_the_lazy_plan_and_passes_its_tests(spark, tmp_path
     for name in ("staged", "touchpoints", "conversions", "marts"):
         assert rows_of(getattr(built, name)) == rows_of(getattr(lazy, name).select(*getattr(built, name).columns))
     results = pipeline.run_tests(built).collect()
-    assert len(results) == 18
+    assert len(results) == 19
     assert {r.failures for r in results} == {0}
     assert quality.strict_reconciles(built.conversions, built.marts).count() == 0
 

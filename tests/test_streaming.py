@@ -108,3 +108,11 @@ def test_pre_filter_drops_copies(spark, inbox):
     stream = ingest.first_deliveries(ingest.read_stream(spark, str(inbox / "inbox")))
     ingest.ingest_available(stream, str(inbox / "landing"), str(inbox / "cp"))
     assert read_landing(spark, str(inbox / "landing")).count() == 6
+
+
+def test_ingest_reads_a_table_that_is_a_folder_of_part_files(spark, tmp_path):
+    from touchtrail.plans import catalog
+
+    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    source.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert catalog.ingest_stream(spark, str(tmp_path)).count() == 2 * source.count()

@@ -47,8 +47,12 @@ def touchpoint_key_id() -> Column:
 
 
 def landing_key_id(user: str = "user_pseudo_id", name: str = "event_name", ts: str = "event_ts") -> Column:
-    """sha256 over user, event and time text at second precision; NULL when any part is NULL."""
-    text = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    """sha256 over user, event and UTC time text at second precision; NULL when any part is NULL."""
+    seconds = F.unix_seconds(ts)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
+    of_day = F.pmod(seconds, F.lit(86400))
+    parts = (F.floor(of_day / 3600), F.floor(of_day / 60) % 60, of_day % 60)
+    text = F.concat(day.cast("string"), F.lit(" "), F.format_string("%02d:%02d:%02d", *parts))
     return F.sha2(F.concat(F.col(user), F.lit("|"), F.col(name), F.lit("|"), text), 256)
 
 

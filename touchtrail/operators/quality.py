@@ -87,15 +87,17 @@ def _differs(total: Column) -> Column:
 def strict_reconciles(conversions: DataFrame, marts: DataFrame) -> DataFrame:
     """Conversions that do not have exactly one row of equal revenue in each mart.
 
-    Catches what equal totals hide: empty marts, lost zero-revenue rows, errors that cancel.
+    Catches what equal totals hide: empty marts, lost zero-revenue rows, errors that cancel. A
+    revenue that is not finite is a violation of its own.
     """
     key = ("conversion_id", "user_pseudo_id", "conversion_ts")
     exact = F.col("revenue").cast("decimal(38,6)")
     per_key = _labelled(conversions, marts, *key, "revenue").groupBy(*key).agg(
         *(F.count_if(F.col("label") == t).alias(f"{t}_rows") for t in _TOTALS),
         *(F.sum(F.when(F.col("label") == t, exact)).alias(f"{t}_revenue") for t in _TOTALS),
+        F.count_if(F.isnan("revenue") | (F.abs("revenue") == float("inf"))).alias("not_finite"),
     )
-    sound = [F.col("conversions_rows") == 1]
+    sound = [F.col("conversions_rows") == 1, F.col("not_finite") == 0]
     for t in _TOTALS[1:]:
         sound += [
             F.col(f"{t}_rows") == 1,

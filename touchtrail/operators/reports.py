@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchtrail.functions.columns import money, utc_day
@@ -46,10 +46,11 @@ def daily_conversions(
         F.count("*").alias("conversions"),
         F.max(~F.col("user_pseudo_id").like(exclude)).alias("has_batch"),
     )
-    # The last day comes from the daily counts, so the marts are read once.
-    last_day = per_day.where("has_batch").agg(F.max("day")).scalar()
+    # The last day comes from the daily counts, two rows a day, so the marts are read once.
+    last_day = F.max(F.when(F.col("has_batch"), F.col("day"))).over(Window.partitionBy())
     return (
-        per_day.where(F.col("day").between(F.date_sub(last_day, days), last_day))
+        per_day.withColumn("last_day", last_day)
+        .where(F.col("day").between(F.date_sub("last_day", days), F.col("last_day")))
         .select("day", "attribution_model", "conversions")
         .orderBy("day", "attribution_model")
     )

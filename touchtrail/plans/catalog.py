@@ -53,8 +53,11 @@ def _marts(spark: SparkSession, sf_dir: str, name_streamed_users: bool = False)
 
 
 def _conversions_and_marts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The conversions and the published marts, as a check of the credit step needs them."""
     convs, touches = _journey(spark, sf_dir)
-    return convs, credit.attribute(convs, touches, PARAMS.lookback_days)
+    path = scratch_dir(spark, "marts")
+    credit.attribute(convs, touches, PARAMS.lookback_days).write.parquet(path)
+    return convs, spark.read.parquet(path)
 
 
 def flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,19 +212,35 @@ def row_count_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.row_count_trend(given.as_landed(_web(spark, sf_dir)))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_stream(
+    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The part files of a folder as a stream of sent events."""
     raw = ingest.read_stream(
-        configure(spark), sf_dir, given.GIVEN_EVENTS, "parquet", path_glob="events.parquet"
+        configure(spark),
+        folder,
+        given.GIVEN_EVENTS,
+        "parquet",
+        max_files_per_trigger,
+        path_glob="*.parquet",
     )
     return given.web_events(raw).select(*ingest.SENT_EVENTS.fieldNames())
 
 
+def _event_files(spark: SparkSession, sf_dir: str, folder: str, files: int = 1) -> str:
+    """The events table, a file or a folder of any layout, as a folder that a stream can read."""
+    path = f"{folder}/sent"
+    given.read_events(configure(spark), sf_dir).repartition(files).write.parquet(path)
+    return path
+
+
 def _ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table landed, and delivered once more under a fresh checkpoint."""
     folder = scratch_dir(spark, "ingest")
     create_landing(spark, f"{folder}/landing")
+    sent = _event_files(spark, sf_dir, folder)
     for delivery in ("first", "again"):
-        stream = _event_stream(spark, sf_dir)
+        stream = _event_stream(spark, sent)
         ingest.ingest_available(stream, f"{folder}/landing", f"{folder}/checkpoint-{delivery}")
     return read_landing(spark, f"{folder}/landing")
 
@@ -242,7 +261,20 @@ def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The streaming pre-filter in front of the landing table, every event being sent twice."""
     folder = scratch_dir(spark, "first-deliveries")
     create_landing(spark, f"{folder}/landing")
-    doubled = _event_stream(spark, sf_dir).select(
+    doubled = _event_stream(spark, _event_files(spark, sf_dir, folder)).select(
+        "*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")
+    )
+    stream = ingest.first_deliveries(doubled).drop("copy")
+    ingest.ingest_available(stream, f"{folder}/landing", f"{folder}/checkpoint")
+    return read_landing(spark, f"{folder}/landing").drop("inserted_at")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pre-filter over many micro-batches, with events of all days in each and copies."""
+    folder = scratch_dir(spark, "late-rows")
+    create_landing(spark, f"{folder}/landing")
+    sent = _event_files(spark, sf_dir, folder, files=4)
+    doubled = _event_stream(spark, sent, max_files_per_trigger=1).select(
         "*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")
     )
     stream = ingest.first_deliveries(doubled).drop("copy")
@@ -302,6 +334,7 @@ QUERIES: dict[str, Query] = {
         ingest_stream,
         ingest_staged,
         stream_first_deliveries,
+        stream_late_rows,
         rebuild,
         rebuild_tests,
     )

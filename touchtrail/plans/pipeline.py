@@ -112,6 +112,12 @@ def run_tests(tables: Tables, params: Params = Params()) -> DataFrame:
             "reconciles",
         )
     )
+    # Totals also agree on empty marts; this one fails then.
+    results.append(
+        quality.violation_count(
+            quality.strict_reconciles(tables.conversions, tables.marts), "marts", "revenue", "strict"
+        )
+    )
     return reduce(DataFrame.unionByName, results)
 
 

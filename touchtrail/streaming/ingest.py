@@ -39,7 +39,7 @@ def read_stream(
 
 
 def arriving_rows(sent: DataFrame) -> DataFrame:
-    """Landing columns of sent rows: whole seconds, id, day; the load time is added on write."""
+    """Landing columns of sent rows: whole seconds, id, day."""
     return sent.withColumn("event_ts", F.date_trunc("second", "event_ts")).withColumns(
         {"event_id": landing_key_id(), "event_date": utc_day("event_ts")}
     )
@@ -48,10 +48,11 @@ def arriving_rows(sent: DataFrame) -> DataFrame:
 def first_deliveries(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """The stream without copies that arrive within ``delay`` of each other.
 
-    A filter that saves landing space only; its memory is bounded by the delay, so the rebuild
-    still removes copies over all time.
+    The watermark runs on the arrival time, so no row is late however old its event is, and state
+    still expires. The filter saves landing space only: the rebuild removes copies over all time.
     """
-    return stream.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(list(EVENT_KEY))
+    arriving = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", delay)
+    return arriving.dropDuplicatesWithinWatermark(list(EVENT_KEY)).drop("_arrived")
 
 
 def start_ingest(
@@ -67,11 +68,13 @@ def start_ingest(
         feed = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if feed is None:
             raise RuntimeError("a micro-batch without the id of its query cannot be replayed safely")
-        stamped = rows.withColumn("inserted_at", F.current_timestamp()).select(*LANDING_COLUMNS)
-        append_delivery(stamped, landing, feed, batch)
+        append_delivery(rows.select(*LANDING_COLUMNS), landing, feed, batch)
 
+    # The load time is the time of the micro-batch, which its checkpoint records: a replay gives
+    # the same one.
     writer = (
         arriving_rows(sent)
+        .withColumn("inserted_at", F.current_timestamp())
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
     )
