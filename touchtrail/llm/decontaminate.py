@@ -1,7 +1,7 @@
 """Documents that hold benchmark items, also with other numbers, names or units in them.
 
 Words are runs of letters and digits, lower-cased. Every five words in a row give two windows: the
-plain one, and, where at least three words are literal and one is not, a template in which
+plain one, and, where at least two words are literal and one is not, a template in which
 numbers, capitalised words and units are typed placeholders. Windows are joined by their hash. An
 item is held if three quarters of its windows are found, as they are or as templates. Where the
 literal windows are not enough, the slots must be consistent: the values that one value of the item
@@ -37,7 +37,7 @@ from touchtrail.llm.common import (
 )
 
 WIDTH = 5
-LEAST_LITERALS = 3
+LEAST_LITERALS = 2
 LEAST_SHARE = 0.75
 BITMAP_BITS = 1 << 24
 # Words taken for units of measure.

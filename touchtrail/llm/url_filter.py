@@ -171,9 +171,11 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     masses = spread(host_links(parsed), seeds)
     totals = seeds.agg(F.sum("trust").alias("allowed"), F.sum("distrust").alias("blocked"))
     allowed, blocked = totals.first()
-    per_page = seeds.select("host", "pages").join(masses, "host")
+    own = seeds.select("host", "pages", (F.col("distrust") / F.col("pages")).alias("own"))
+    per_page = own.join(masses, "host")
     trust = F.col("trust") * (allowed or 0.0) / F.col("pages")
-    distrust = F.col("distrust") * (blocked or 0.0) / F.col("pages")
+    # What a host passes on to those who link to it does not clear its own pages.
+    distrust = F.greatest("own", F.col("distrust") * (blocked or 0.0) / F.col("pages"))
     refused = per_page.where((distrust >= BLOCK_AT) & (distrust > trust)).select(
         "host", F.lit("block").alias("by_host")
     )
