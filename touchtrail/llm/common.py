@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -39,14 +41,42 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(table: DataFrame, label: str) -> DataFrame:
-    """The table written below the shared scratch folder and read back: its lineage ends here."""
+# Folders of the tables written in each open ``short_lived`` block, the innermost last.
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
+
+
+def written(table: DataFrame, label: str, lasting: bool = False) -> DataFrame:
+    """The table written below the shared scratch folder and read back: its lineage ends here.
+
+    In a ``short_lived`` block the table goes at the end of the block; a lasting one belongs to the
+    block around it, or stays where there is none.
+    """
     spark = table.sparkSession
     path = scratch_dir(spark, label)
+    blocks = _blocks.get()[: -1 if lasting else None]
+    if blocks:
+        blocks[-1].append(path)
     table.write.parquet(path)
     return spark.read.schema(table.schema).parquet(path)
 
 
+@contextmanager
+def short_lived(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end, also after an error.
+
+    What leaves the block must not read them, so it is written as ``lasting``.
+    """
+    paths: list[str] = []
+    token = _blocks.set((*_blocks.get(), paths))
+    try:
+        yield
+    finally:
+        _blocks.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit words (the finalizer of MurmurHash3)."""
     values = values ^ (values >> np.uint64(33))
@@ -142,8 +172,13 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     order of nodes, which folds a star around its smallest node at once, and a hashed order, which
     folds long chains in a logarithmic number of rounds. Each round is written, so a lost executor
     costs that round; no node's neighbours meet in one task, as the minimum is taken before the
-    shuffle.
+    shuffle. Only the result outlasts the rounds.
     """
+    with short_lived(links.sparkSession):
+        return written(_contracted(links, label), label, lasting=True)
+
+
+def _contracted(links: DataFrame, label: str) -> DataFrame:
     both = links.where("a <> b").select("a", "b")
     edges = written(both.union(both.select("b", "a")).distinct(), label)
     moves = []
@@ -171,4 +206,4 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         roots = move.join(later, "to", "left").select(
             F.col("a").alias("node"), F.coalesce("root", "to").alias("root")
         )
-    return written(roots, label)
+    return roots

@@ -35,6 +35,7 @@ from touchtrail.llm.common import (
     gathered,
     lowered,
     mixed,
+    short_lived,
     text_blocks,
     window_hashes,
     word_hashes,
@@ -191,8 +192,14 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    ``component_id`` is the smallest doc_id reachable over links, ``kept`` marks that document.
+    ``component_id`` is the smallest doc_id reachable over links, ``kept`` marks that document. The
+    result is a written table; what led to it is removed.
     """
+    with short_lived(documents.sparkSession):
+        return written(_judged(documents), "near-duplicates", lasting=True)
+
+
+def _judged(documents: DataFrame) -> DataFrame:
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     signed = written(
         texts.mapInArrow(

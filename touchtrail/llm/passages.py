@@ -45,7 +45,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from touchtrail.llm.common import _BASE, _BYTE_CODE, mixed, powers, written
+from touchtrail.llm.common import _BASE, _BYTE_CODE, mixed, powers, short_lived, written
 
 WINDOW = 100
 GRAM = 40
@@ -391,31 +391,42 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """(doc_id, lo, hi): byte spans that cover exactly the windows that occur earlier.
 
-    Spans of a document may overlap.
+    Spans of a document may overlap. The result is a written table; what led to it is removed.
     """
+    with short_lived(documents.sparkSession):
+        return written(_found_spans(documents), "spans", lasting=True)
+
+
+def _found_spans(documents: DataFrame) -> DataFrame:
     texts = documents.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     texts = texts.where(F.octet_length("text") >= WINDOW)
     found = texts.mapInArrow(_pieces, _PIECE)
     shared = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    candidates = written(found.join(shared, "anchor", "left_semi"), "pieces")
-
     place = F.struct("doc_id", "lo", "windows", "gram")
-    firsts = written(
-        candidates.where("windows > 0")
-        .groupBy("anchor", "content")
-        .agg(F.min(place).alias("first"))
-        .select("anchor", "content", "first.*"),
-        "first-pieces",
-    )
     width = F.abs("windows") + F.lit(WINDOW - 1)
-    earlier = firsts.select("anchor", "content", F.col("doc_id").alias("d"), F.col("lo").alias("l"))
-    later = (
-        candidates.join(earlier, ["anchor", "content"])
-        .where("windows < 0 or doc_id <> d or lo <> l")
-        .select("doc_id", "lo", (F.col("lo") + width).alias("hi"))
-    )
+    # The candidates are the largest table; they go before the bytes of pieces are gathered.
+    with short_lived(documents.sparkSession):
+        candidates = written(found.join(shared, "anchor", "left_semi"), "pieces")
+        firsts = written(
+            candidates.where("windows > 0")
+            .groupBy("anchor", "content")
+            .agg(F.min(place).alias("first"))
+            .select("anchor", "content", "first.*"),
+            "first-pieces",
+            lasting=True,
+        )
+        earlier = firsts.select(
+            "anchor", "content", F.col("doc_id").alias("d"), F.col("lo").alias("l")
+        )
+        later = written(
+            candidates.join(earlier, ["anchor", "content"])
+            .where("windows < 0 or doc_id <> d or lo <> l")
+            .select("doc_id", "lo", (F.col("lo") + width).alias("hi")),
+            "later-pieces",
+            lasting=True,
+        )
 
     several = (
         firsts.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(width).alias("size"))
