@@ -165,6 +165,9 @@ def oracle_queries() -> dict[str, str]:
     staged_columns = ["event_id", *_EVENT_COLUMNS.split(", ")]
     return {
         "flatten_events": f"{web} SELECT {_EVENT_COLUMNS} FROM web",
+        "nested_shards": f"{web} SELECT {_EVENT_COLUMNS} FROM web",
+        "nested_shards_range": f"""{web} SELECT {_EVENT_COLUMNS} FROM web
+            WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-14'""",
         "staged_events": f"{staged} SELECT * FROM staged",
         "touchpoints": f"{month} SELECT * FROM touchpoints",
         "channel_grouping": f"""{web} SELECT medium, {_channel("medium")} AS channel,

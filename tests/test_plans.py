@@ -80,6 +80,24 @@ def test_credit_shuffles_the_touches_once_per_step(spark, tables, tmp_path):
     assert text.count("Exchange hashpartitioning") - text.count("ReusedExchange") <= 4
 
 
+def test_one_model_has_half_the_windows_and_each_table_is_read_once(tables):
+    both, first, last = (
+        final_plan(credit.attribute(tables.conversions, tables.touchpoints, models=models))
+        for models in (["first_click", "last_click"], ["first_click"], ["last_click"])
+    )
+    of_staging = plan(tables.conversions).count("Window [") + plan(tables.touchpoints).count("Window [")
+    assert both.count("Window [") == of_staging + 4
+    assert first.count("Window [") == last.count("Window [") == of_staging + 2
+    # Conversions and touches each read the export and the landing table.
+    assert [text.count("FileScan") for text in (both, first, last)] == [4, 4, 4]
+
+
+def test_day_range_opens_its_shards_only(spark):
+    files = [len(QUERIES[n](spark, SF).inputFiles()) for n in ("nested_shards", "nested_shards_range")]
+    days = given.web_events(given.read_events(spark, SF)).select("event_date").distinct().count()
+    assert files[0] >= days > 10 and files[1] < files[0]
+
+
 def test_paths_join_on_user_and_slice(tables):
     text = plan(journey.conversion_paths(tables.conversions, tables.touchpoints))
     assert re.search(r"Join \[user_pseudo_id#\d+, slice#\d+L\]", text)

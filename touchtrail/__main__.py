@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import date
 
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     params = Params(conversion_event=args.conversion_event, lookback_days=args.lookback_days)
     tables = pipeline.rebuild(
         spark,
-        read_nested_events(spark, args.events),
+        read_nested_events(spark, args.events, args.first_day, args.last_day),
         read_landing(spark, args.landing),
         args.out,
         params,
@@ -54,6 +55,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     land.add_argument("--checkpoint", required=True)
     build.add_argument("--events", required=True, help="folder of the events_YYYYMMDD shards")
     build.add_argument("--out", required=True)
+    for end in ("--first-day", "--last-day"):
+        build.add_argument(end, type=date.fromisoformat, help="YYYY-MM-DD; give both or none")
     build.add_argument("--conversion-event", default=defaults.conversion_event)
     build.add_argument("--lookback-days", type=int, default=defaults.lookback_days)
     return parser.parse_args(argv)

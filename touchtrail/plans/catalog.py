@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from touchtrail.plans import pipeline
 from touchtrail.schemas import FLAT_EVENTS
 from touchtrail.session import configure, scratch_dir
 from touchtrail.sources import given_events as given
+from touchtrail.sources.batch import read_nested_events, write_shards
 from touchtrail.sources.landing import create_landing, read_landing, streamed_events
 from touchtrail.streaming import ingest
 
@@ -22,6 +23,11 @@ PARAMS = Params()
 # Half an hour after the end of the given events' last day.
 NOW = datetime(2024, 1, 31, 0, 30, tzinfo=timezone.utc)
 
+# Micro-batches that the events are landed in, days mixed.
+LATE_BATCHES = 4
+# The closed range of days that the shards are read for.
+FIRST_DAY, LAST_DAY = date(2024, 1, 5), date(2024, 1, 14)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -64,6 +70,24 @@ def flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.flatten_events(given.as_nested(_web(spark, sf_dir)))
 
 
+def nested_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events written as an export of day shards, and all shards read back."""
+    return staging.flatten_events(read_nested_events(spark, _export(spark, sf_dir)))
+
+
+def nested_shards_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shards of a range of days; the others are not opened."""
+    root = _export(spark, sf_dir)
+    return staging.flatten_events(read_nested_events(spark, root, FIRST_DAY, LAST_DAY))
+
+
+def _export(spark: SparkSession, sf_dir: str) -> str:
+    nested = given.as_nested(_web(spark, sf_dir))
+    root = scratch_dir(spark, "export")
+    write_shards(nested, root)
+    return root
+
+
 def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir)
 
@@ -227,10 +251,14 @@ def _event_stream(
     return given.web_events(raw).select(*ingest.SENT_EVENTS.fieldNames())
 
 
-def _event_files(spark: SparkSession, sf_dir: str, folder: str, files: int = 1) -> str:
-    """The events table, a file or a folder of any layout, as a folder that a stream can read."""
+def _event_files(spark: SparkSession, sf_dir: str, folder: str, files: int | None = None) -> str:
+    """The events table, a file or a folder of any layout, as a folder that a stream can read.
+
+    ``files``: how many files the rows are dealt over, else as the table is read.
+    """
     path = f"{folder}/sent"
-    given.read_events(configure(spark), sf_dir).repartition(files).write.parquet(path)
+    events = given.read_events(configure(spark), sf_dir)
+    (events.repartition(files) if files else events).write.parquet(path)
     return path
 
 
@@ -273,8 +301,10 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pre-filter over many micro-batches, with events of all days in each and copies."""
     folder = scratch_dir(spark, "late-rows")
     create_landing(spark, f"{folder}/landing")
-    sent = _event_files(spark, sf_dir, folder, files=4)
-    doubled = _event_stream(spark, sent, max_files_per_trigger=1).select(
+    # As many files a batch as there are cores, so that no task takes a batch alone.
+    cores = spark.sparkContext.defaultParallelism
+    sent = _event_files(spark, sf_dir, folder, LATE_BATCHES * cores)
+    doubled = _event_stream(spark, sent, max_files_per_trigger=cores).select(
         "*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")
     )
     stream = ingest.first_deliveries(doubled).drop("copy")
@@ -303,6 +333,8 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         flatten_events,
+        nested_shards,
+        nested_shards_range,
         staged_events,
         touchpoints,
         channel_grouping,

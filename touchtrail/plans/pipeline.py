@@ -45,7 +45,9 @@ def build(flat: DataFrame, landing: DataFrame, params: Params = Params()) -> Tab
     staged = staging.stage_events(flat, streamed_events(landing))
     touchpoints = journey.touchpoints(staged)
     conversions = journey.conversions(staged, params.conversion_event)
-    marts = credit.attribute(conversions, touchpoints, params.lookback_days)
+    marts = credit.attribute(
+        conversions, touchpoints, params.lookback_days, slice_seconds=params.slice_seconds
+    )
     return Tables(staged, touchpoints, conversions, marts)
 
 
@@ -74,7 +76,9 @@ def rebuild(
     )
     marts = _publish(
         spark,
-        credit.attribute(conversions, touchpoints, params.lookback_days),
+        credit.attribute(
+            conversions, touchpoints, params.lookback_days, slice_seconds=params.slice_seconds
+        ),
         f"{out}/marts",
         MARTS,
         "attribution_model",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchtrail import schemas
 
@@ -29,3 +30,19 @@ def read_nested_events(
         days = (first_day + timedelta(days=n) for n in range(span))
         shards = "events_{" + ",".join(f"{day:%Y%m%d}" for day in days) + "}"
     return spark.read.schema(schemas.NESTED_EVENTS).parquet(f"{root.rstrip('/')}/{shards}")
+
+
+def write_shards(nested: DataFrame, root: str) -> None:
+    """Nested events as one folder ``events_YYYYMMDD`` per day below ``root``, in one pass.
+
+    The partition folders get their names after the write; the day stays a column of the files.
+    """
+    spark = nested.sparkSession
+    nested.withColumn("day", F.col("event_date")).write.partitionBy("day").parquet(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.globStatus(path(f"{root}/day=*")):
+        source = folder.getPath()
+        day = source.getName().removeprefix("day=")
+        if not files.rename(source, path(source.getParent(), f"events_{day}")):
+            raise OSError(f"no shard for {day} below {root}")
