@@ -92,6 +92,20 @@ def test_minhash_equals_all_pairs(docs, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_short_lived_tables_go_and_lasting_ones_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "scratch_dir", lambda _, label: f"{tmp_path}/{label}")
+    rows = spark.range(3)
+    with pytest.raises(ZeroDivisionError), common.short_lived(spark):
+        with common.short_lived(spark):
+            common.written(rows, "inner")
+            outer = common.written(rows, "outer", lasting=True)
+        assert not (tmp_path / "inner").exists() and outer.count() == 3
+        kept = common.written(outer, "kept", lasting=True)
+        raise ZeroDivisionError
+    assert not (tmp_path / "outer").exists() and kept.count() == 3
+    assert common.written(rows, "plain").count() == 3
+
+
 @pytest.mark.parametrize("pieces", [2000, 2])
 def test_passages_equal_the_plain_definition(docs, nothing, monkeypatch, pieces):
     monkeypatch.setattr(passages, "BLOCK_PIECES", pieces)
