@@ -216,6 +216,32 @@ def test_leaks_also_with_other_slots(spark, docs):
     assert decontaminate.leaks(table, bench.where("false")).count() == 0
 
 
+def test_each_occurrence_of_a_leak_is_judged_on_its_own(spark, docs):
+    item = "Anna buys 12 apples and Ben buys 9 pears while Carla sells 30 plums to David for 7 coins"
+    olds = ["Anna", "12", "Ben", "9", "Carla", "30", "David", "7"]
+    draws = (["Emma", "21", "Fred", "8", "Gina", "44", "Hugo", "5"],
+             ["Ida", "33", "Jack", "6", "Kate", "51", "Leo", "2"],
+             ["Mia", "17", "Nils", "4", "Olga", "60", "Paul", "3"])
+    variants = []
+    for news in draws:
+        turned = dict(zip(olds, news))
+        variants.append(" ".join(turned.get(word, word) for word in item.split()))
+    added = variants[1].replace("pears while", "pears one fine day while")
+    twice = "Ann has 4 red nuts and Ann has 4 big nuts and Ann has 4 old nuts for sale"
+    # One value of the item turns into several within one copy.
+    spoilt = "Bob has 5 red nuts and Cid has 6 big nuts and Dan has 7 old nuts for sale"
+    rows = [
+        (1, variants[0]), (2, " and then ".join(variants[:2])), (3, " ".join(variants)),
+        (4, f"{variants[0]} stop {added}"), (5, "buys 3 apples and Zoe buys 4 pears " * 200 + variants[2]),
+        (6, spoilt), (7, "Bob has 5 red nuts and Bob has 5 big nuts and Bob has 5 old nuts for sale"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, twice)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(table, bench).collect()}
+    assert {(n, 1) for n in range(1, 6)} | {(7, 2)} == set(found)
+    assert all(r.view == "template" for r in found.values())
+
+
 def test_main_text():
     page = (
         "<html><head><title>t</title><script>var a='</p>';</script></head><body><nav>menu</nav>"

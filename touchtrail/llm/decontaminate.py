@@ -5,9 +5,14 @@ plain one, and, where at least two words are literal and one is not, a template
 numbers, capitalised words and units are typed placeholders. Windows are joined by their hash. An
 item is held if three quarters of its windows are found, as they are or as templates. Where the
 literal windows are not enough, the slots must be consistent: the values that one value of the item
-turns into are counted over all matched windows, and three quarters of the slots must agree with
+turns into are counted over the matched windows, and three quarters of the slots must agree with
 the most frequent one.
 
+A document may hold several variants of an item, so windows and slots are judged per occurrence as
+well as over the whole document; one that passes is enough. An occurrence is all matches of equal
+distance between their places in document and item, or of distances within a band of half the
+item's length, so that words may have been added or left out in between; bands overlap by half.
+
 A bitmap of fixed size over the hashes of the benchmark keeps most document windows out of the
 join; it drops none that the join would find.
 
@@ -99,6 +104,7 @@ def _windows(
         slot = number | unit | name
         counts = np.bincount(owner, minlength=len(offsets) - 1)
         of_word = counts[owner]
+        begin = np.cumsum(counts) - counts
         for width in widths:
             size = len(words) - width + 1
             if size <= 0:
@@ -112,11 +118,12 @@ def _windows(
             for view, values, chosen in ((0, words, inside), (1, template, usable)):
                 first = np.flatnonzero(chosen)
                 keys = mixed(window_hashes(values, width)[first] + np.uint64(view * 8 + width))
-                yield block, view, keys, first, owner[first], (data, starts, ends, slot, width)
+                source = (data, starts, ends, slot, width, begin)
+                yield block, view, keys, first, owner[first], source
 
 
 def _slot_values(first: int, source: tuple) -> list[str]:
-    data, starts, ends, slot, width = source
+    data, starts, ends, slot, width, _ = source
     return [
         data[starts[n] : ends[n]].tobytes().decode("utf-8", "replace").lower()
         for n in range(first, first + width)
@@ -146,7 +153,7 @@ def _window_rows(
                             pa.array(ids[block + owner]),
                             pa.array([_VIEWS[view]] * len(keys)),
                             pa.array(keys.view(np.int64)),
-                            pa.array(first.astype(np.int64)),
+                            pa.array((first - source[-1][owner]).astype(np.int64)),
                             pa.array(slots, pa.list_(pa.string())),
                         ],
                         [key, "view", "hash", "place", "slots"],
@@ -181,7 +188,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     doc_id, item_id, matched and all windows of the item, their share, whether literal windows
     were enough (view plain) or templates were needed, and the share of consistent slots (1 for
-    the plain view).
+    the plain view). The figures are those of the whole document if it passes as a whole, else of
+    the best occurrence.
     """
     every = tuple(range(1, WIDTH + 1))
     items = _window_rows(benchmark, "item_id", every, True, None)
@@ -196,47 +204,64 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     ]
     widths = (*sorted(n for n in short if n and n > 0), WIDTH)
     found = _window_rows(documents, "doc_id", widths, False, bitmap)
-    plain = F.when(F.col("view") == "plain", F.col("at"))
     sizes = (
         items.where("view = 'plain'")
         .groupBy("item_id")
         .agg(F.countDistinct("at").alias("item_windows"))
     )
-    hits = written(found.join(items, ["view", "hash"]), "hits")
-
-    # Several windows of a document may match one window of the item; that is one match.
-    matched = hits.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("at").alias("matched"), F.countDistinct(plain).alias("literal")
+    hits = written(found.join(items.join(sizes, "item_id"), ["view", "hash"]), "hits")
+
+    distance, step = F.col("place") - F.col("at"), F.greatest(F.lit(1), F.expr("item_windows div 4"))
+    band = F.floor(distance / step)
+    scopes = (("whole", F.lit(0)), ("line", distance), ("band", band), ("band", band - 1))
+    hits = hits.withColumn(
+        "scope",
+        F.explode(
+            F.array(
+                *(F.struct(F.lit(n).alias("kind"), at.cast("long").alias("n")) for n, at in scopes)
+            )
+        ),
     )
-    enough = matched.join(sizes, "item_id").where(
-        F.col("matched") >= LEAST_SHARE * F.col("item_windows")
+    one = ["doc_id", "item_id", "scope"]
+    # Several windows of a document may match one window of the item; that is one match.
+    matched = (
+        hits.groupBy(*one, "item_windows", "at")
+        .agg(F.max((F.col("view") == "plain").cast("long")).alias("literal"))
+        .groupBy(*one, "item_windows")
+        .agg(F.count("*").alias("matched"), F.sum("literal").alias("literal"))
     )
+    enough = matched.where(F.col("matched") >= LEAST_SHARE * F.col("item_windows"))
     turned = (
         hits.where("view = 'template'")
-        .select(
-            "doc_id", "item_id", F.explode(F.arrays_zip("item_slots", "slots")).alias("slot")
-        )
-        .groupBy("doc_id", "item_id", F.col("slot.item_slots").alias("old"), "slot.slots")
+        .select(*one, F.explode(F.arrays_zip("item_slots", "slots")).alias("slot"))
+        .groupBy(*one, F.col("slot.item_slots").alias("old"), "slot.slots")
         .agg(F.count("*").alias("n"))
-        .groupBy("doc_id", "item_id", "old")
+        .groupBy(*one, "old")
         .agg(F.max("n").alias("top"), F.sum("n").alias("n"))
-        .groupBy("doc_id", "item_id")
+        .groupBy(*one)
         .agg((F.sum("top") / F.sum("n")).alias("agreeing"))
     )
     literal = F.col("literal") >= LEAST_SHARE * F.col("item_windows")
     consistency = F.when(literal, 1.0).otherwise(F.coalesce("agreeing", F.lit(1.0)))
+    whole = F.col("scope.kind") == "whole"
+    best = F.struct(
+        literal.alias("literal"), whole.alias("whole"), "matched", "consistency", "item_windows"
+    )
     return (
-        enough.join(turned, ["doc_id", "item_id"], "left")
+        enough.join(turned, one, "left")
+        .withColumn("consistency", consistency)
+        .where(F.col("consistency") >= LEAST_SHARE)
+        .groupBy("doc_id", "item_id")
+        .agg(F.max(best).alias("best"))
         .select(
             "doc_id",
             "item_id",
-            "matched",
-            "item_windows",
-            (F.col("matched") / F.col("item_windows")).alias("share"),
-            F.when(literal, "plain").otherwise("template").alias("view"),
-            consistency.alias("consistency"),
+            "best.matched",
+            "best.item_windows",
+            (F.col("best.matched") / F.col("best.item_windows")).alias("share"),
+            F.when(F.col("best.literal"), "plain").otherwise("template").alias("view"),
+            "best.consistency",
         )
-        .where(F.col("consistency") >= LEAST_SHARE)
     )
 
 
