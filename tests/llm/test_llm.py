@@ -252,6 +252,36 @@ def test_main_text():
     assert main_text.read_page("")[0] == "" and main_text.read_page("<p>a < b")[0] == "a < b"
 
 
+def paragraphs(n, count=5):
+    draw = random.Random(n)
+    return [" ".join(f"w{draw.randrange(10**6)}" for _ in range(12)) for _ in range(count)]
+
+
+def main_texts(spark, pages):
+    """Texts by row for (url, html) pages, which must come in the order of page_id."""
+    rows = [(n, *page) for n, page in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in main_text.extract(table).orderBy("page_id").collect()]
+
+
+def test_copies_do_not_make_an_article_a_template(spark, docs):
+    def page(said, extra=""):
+        body = "".join(f"<p>{p}</p>" for p in said)
+        return f"<body>{extra}<article>{body}<p>Terms apply to all readers.</p></article></body>"
+
+    expected, pages = [], []
+    for n in range(40):  # equal articles next to other adverts
+        pages.append((f"http://a.org/copy?utm={n}", page(paragraphs(0), f"<div>advert {n}</div>")))
+    for n in range(30):
+        pages.append((f"http://a.org/{n}", page(paragraphs(n + 1))))
+    expected += [" ".join(paragraphs(0))] * 40 + [" ".join(paragraphs(n + 1)) for n in range(30)]
+    for n in range(30):  # articles that differ in their last paragraph
+        said = paragraphs(99)[:4] + paragraphs(200 + n)[:1]
+        pages.append((f"http://b.org/{n}", page(said)))
+        expected.append(" ".join(said) + " Terms apply to all readers.")
+    assert main_texts(spark, pages) == expected
+
+
 def test_language_and_quality_hold_out(spark, docs, nothing):
     for name, least in (("op10_language", 0.95), ("op8_quality", 0.95)):
         out = LLM_QUERIES[name](spark, "/root/testdata/sf0.01")

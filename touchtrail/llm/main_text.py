@@ -4,7 +4,10 @@ A page is read as a stream of tags and texts. Menus, headers and footers of the
 notices, adverts, forms, scripts, styles and reader comments go by their element, role or class.
 Besides, every closed element is hashed with all that is in it; hashes are counted per host, and
 elements that stand on at least half of the host's pages, and on at least 20, are part of the
-site's template and go as well. Where a page has an article or main element, its text is the page's
+site's template and go as well. Pages of a host with equal text, as read without its template,
+count as one page, so that copies of an article (mirrors, print or tracking urls) do not make its
+paragraphs a template; nor is anything cut out of an article that would lose half of its text or
+more, as near copies would. Where a page has an article or main element, its text is the page's
 text, else that of the body.
 
 The template elements of a host are few: if pages have s elements on average, at most 2 s of them
@@ -12,8 +15,7 @@ can stand on half of the pages. They are joined to the pages by host.
 
 Defined cases: a null or empty html, or one without text, gives an empty text; unclosed elements
 end with the one around them; a url without a host counts as a host of its own; repeated rows give
-repeated results and count as pages of their own; an empty table gives no rows; other columns are
-ignored.
+repeated results and count as one page; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -105,6 +107,9 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
     """
     out: list[str] = []
     article: list[str] = []
+    # What template elements have taken out of the article.
+    cut: list[str] = []
+    whole_article: list[str] = []
     hashes: set[int] = set()
     # Open elements: name, place in html, length of both texts, whether they are left out.
     stack: list[tuple[str, int, int, int, bool]] = []
@@ -118,6 +123,7 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
             number = xxhash.xxh3_64_intdigest(html[start:end].encode("utf-8", "replace"))
             hashes.add(number)
             if number in template:
+                cut.extend(article[before_article:])
                 del out[before:], article[before_article:]
         dropped -= left_out
         articles -= name in ("article", "main")
@@ -129,6 +135,7 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
             out.append(text)
             if articles:
                 article.append(text)
+                whole_article.append(text)
 
     while at < size:
         mark = _MARK.search(html, at)
@@ -169,19 +176,30 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
     while stack:
         pop(None)
     # An article that holds no text leaves the rest of the page to speak for it.
-    text = " ".join("".join(article).split()) or " ".join("".join(out).split())
-    return text, hashes
+    text = _spaced(article)
+    if cut and len(_spaced(cut)) >= LEAST_SHARE * len(_spaced(whole_article)):
+        text = _spaced(whole_article)
+    return text or _spaced(out), hashes
+
+
+def _spaced(texts: list[str]) -> str:
+    return " ".join("".join(texts).split())
 
 
 def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, element, content): elements of each page, a null for the page, the hash of its text."""
     for batch in batches:
-        hosts, numbers = [], []
+        hosts, numbers, contents = [], [], []
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            _, found = read_page(html)
-            hosts += [host] * len(found)
-            numbers += found
-        signed = pa.array(numbers, pa.uint64()).view(pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), signed], ["host", "element"])
+            text, found = read_page(html)
+            content = xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
+            hosts += [host] * (len(found) + 1)
+            numbers += [None, *found]
+            contents += [content] * (len(found) + 1)
+        signed = [pa.array(n, pa.uint64()).view(pa.int64()) for n in (numbers, contents)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), *signed], ["host", "element", "content"]
+        )
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,16 +222,19 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def template_elements(pages: DataFrame) -> DataFrame:
     """(host, elements): hashes of the elements that make up the template of a host."""
-    sizes = pages.groupBy("host").agg(F.count("*").alias("pages")).where(f"pages >= {LEAST_PAGES}")
-    counted = (
+    counted = written(
         pages.select("host", "_html")
-        .mapInArrow(_element_rows, "host string, element long")
+        .mapInArrow(_element_rows, "host string, element long, content long")
+        .distinct()
         .groupBy("host", "element")
         .agg(F.count("*").alias("n"))
-        .where(f"n >= {LEAST_PAGES}")
+        .where(f"n >= {LEAST_PAGES}"),
+        "elements",
     )
+    sizes = counted.where("element is null").select("host", F.col("n").alias("pages"))
     return (
-        counted.join(sizes, "host")
+        counted.where("element is not null")
+        .join(sizes, "host")
         .where(F.col("n") >= LEAST_SHARE * F.col("pages"))
         .groupBy("host")
         .agg(F.collect_list("element").alias("_template"))
