@@ -282,6 +282,22 @@ def test_copies_do_not_make_an_article_a_template(spark, docs):
     assert main_texts(spark, pages) == expected
 
 
+def test_class_names_of_layout_and_text_stay():
+    said = "<article><h1>A</h1><p>one two three</p></article>"
+    for name in ("content no-sidebar", "wrapper has-sidebar", "sticky-header", "sidebar", "page menu"):
+        assert main_text.read_page(f"<body><div class='{name}'>{said}</div>")[0] == "A one two three"
+        bare = f"<body><div id='{name}'><p>one two three</p></div><p>four</p></body>"
+        assert main_text.read_page(bare)[0] == "one two three four"
+    held = (
+        "<article><div class='article-header'><h1>A</h1></div><div class=related-work>B</div>"
+        "<p class=notice>C</p><div class='share-buttons'>x</div><p class='x ad-slot'>x</p>"
+        "<div class=newsletter>x</div>D</article><div class=related><article>x</article></div>"
+    )
+    assert main_text.read_page(held)[0] == "A B C D"
+    outside = "<body><div class=site-nav>x</div><div id=cookie-banner>x</div><p>one two three</body>"
+    assert main_text.read_page(outside)[0] == "one two three"
+
+
 def test_language_and_quality_hold_out(spark, docs, nothing):
     for name, least in (("op10_language", 0.95), ("op8_quality", 0.95)):
         out = LLM_QUERIES[name](spark, "/root/testdata/sf0.01")

@@ -2,6 +2,10 @@
 
 A page is read as a stream of tags and texts. Menus, headers and footers of the site, sidebars,
 notices, adverts, forms, scripts, styles and reader comments go by their element, role or class.
+A class or id counts as a whole name; of hyphenated names, those made of listed words and of
+HELPERS only (ad-slot, but not no-sidebar or article-header). No element goes by its class if it
+holds an article or main element, or half of the text that would be left; in an article, names of
+DOUBTFUL_CLASSES are left to the counts per host.
 Besides, every closed element is hashed with all that is in it; hashes are counted per host, and
 elements that stand on at least half of the host's pages, and on at least 20, are part of the
 site's template and go as well. Pages of a host with equal text, as read without its template,
@@ -59,6 +63,16 @@ DROPPED_CLASSES = frozenset(
     sharing social related comment comments discussion replies disqus widget toolbar
     pagination""".split()
 )
+# Words that tell nothing beside one of the above, and names that articles use for their own parts.
+HELPERS = frozenset(
+    """site page top bottom left right inner outer box bar area list links link item items button
+    buttons block section container wrapper wrap slot unit form icons icon main primary
+    secondary""".split()
+)
+DOUBTFUL_CLASSES = frozenset(
+    """notice notices header footer banner masthead related discussion replies toolbar widget
+    overlay modal promotion social consent""".split()
+)
 CLOSES = {
     "p": BLOCKS - {"br"},
     "li": frozenset({"li"}),
@@ -79,25 +93,35 @@ _ATTRIBUTE = re.compile(
     r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
     re.I,
 )
-_TOKEN = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[-_]+")
+
+
+def _listed(name: str, in_article: bool) -> bool:
+    parts = [part for part in _PART.split(name) if part]
+    known = [part for part in parts if part in DROPPED_CLASSES]
+    if in_article and all(part in DOUBTFUL_CLASSES for part in known):
+        return False
+    return bool(known) and all(part in DROPPED_CLASSES or part in HELPERS for part in parts)
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
+def _unwanted(name: str, attributes: str, in_article: bool) -> str:
+    """Whether an element goes by its name or role ("surely"), by its class ("class"), or not."""
     if name in DROPPED or (name == "header" and not in_article):
-        return True
+        return "surely"
     if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return ""
+    by_class = ""
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         key = key.lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return "surely"
         if key == "role" and value.strip() in DROPPED_ROLES:
-            return True
+            return "surely"
         if key in ("class", "id") and name not in ("html", "body", "article", "main"):
-            if any(token in DROPPED_CLASSES for token in _TOKEN.findall(value)):
-                return True
-    return False
+            if any(_listed(one, in_article) for one in value.split()):
+                by_class = "class"
+    return by_class
 
 
 def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, set[int]]:
@@ -105,37 +129,38 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
 
     Only elements that are closed by their own end tag are hashed.
     """
+    # Texts, and which of them stand in an article.
     out: list[str] = []
-    article: list[str] = []
-    # What template elements have taken out of the article.
-    cut: list[str] = []
-    whole_article: list[str] = []
+    inside: list[bool] = []
+    # Runs of texts in elements of the template, and in elements unwanted by their class, those
+    # with the number of articles around them.
+    cuts: list[tuple[int, int]] = []
+    by_class: list[tuple[int, int, int]] = []
     hashes: set[int] = set()
-    # Open elements: name, place in html, length of both texts, whether they are left out.
-    stack: list[tuple[str, int, int, int, bool]] = []
+    # Open elements: name, place in html, texts before, why they are left out.
+    stack: list[tuple[str, int, int, str]] = []
     dropped = articles = 0
     at, size = 0, len(html)
 
     def pop(end: int | None) -> None:
         nonlocal dropped, articles
-        name, start, before, before_article, left_out = stack.pop()
+        name, start, before, left_out = stack.pop()
         if end is not None and name in BLOCKS:
             number = xxhash.xxh3_64_intdigest(html[start:end].encode("utf-8", "replace"))
             hashes.add(number)
             if number in template:
-                cut.extend(article[before_article:])
-                del out[before:], article[before_article:]
-        dropped -= left_out
+                cuts.append((before, len(out)))
+        dropped -= left_out == "surely"
         articles -= name in ("article", "main")
+        if left_out == "class":
+            by_class.append((before, len(out), articles))
         if name in BLOCKS:
             add(" ")
 
     def add(text: str) -> None:
         if not dropped and text:
             out.append(text)
-            if articles:
-                article.append(text)
-                whole_article.append(text)
+            inside.append(articles > 0)
 
     while at < size:
         mark = _MARK.search(html, at)
@@ -170,18 +195,42 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
             at = end.end() if end else size
             continue
-        stack.append((name, mark.start(), len(out), len(article), left_out))
-        dropped += left_out
+        stack.append((name, mark.start(), len(out), left_out))
+        dropped += left_out == "surely"
         articles += name in ("article", "main")
     while stack:
         pop(None)
+    if by_class:
+        _drop_by_class(out, inside, by_class)
+    article = [text for text, held in zip(out, inside) if held]
+    for start, end in cuts:
+        out[start:end] = [""] * (end - start)
     # An article that holds no text leaves the rest of the page to speak for it.
-    text = _spaced(article)
-    if cut and len(_spaced(cut)) >= LEAST_SHARE * len(_spaced(whole_article)):
-        text = _spaced(whole_article)
+    text = whole = _spaced(article)
+    if cuts:
+        text = _spaced([text for text, held in zip(out, inside) if held])
+        if len(text) <= (1 - LEAST_SHARE) * len(whole):
+            text = whole
     return text or _spaced(out), hashes
 
 
+def _drop_by_class(out: list[str], inside: list[bool], runs: list[tuple[int, int, int]]) -> None:
+    """Empties the texts of elements unwanted by their class, but not those of a page's wrapper.
+
+    That is an element around half of the text of the page's articles, or of the page where it has
+    none; within an article, one around all of its text.
+    """
+    sizes = [len(text.strip()) for text in out]
+    in_article = [size if held else 0 for size, held in zip(sizes, inside)]
+    counted = in_article if any(in_article) else sizes
+    total = sum(counted)
+    for start, end, around in sorted(runs, key=lambda run: (run[0], -run[1])):
+        held = sum(counted[start:end])
+        if held < total * (1 if around else LEAST_SHARE):
+            out[start:end] = [""] * (end - start)
+            counted[start:end] = [0] * (end - start)
+
+
 def _spaced(texts: list[str]) -> str:
     return " ".join("".join(texts).split())
 
