@@ -298,6 +298,33 @@ def test_class_names_of_layout_and_text_stay():
     assert main_text.read_page(outside)[0] == "one two three"
 
 
+def test_repeated_groups_go_without_telling_names(spark, docs):
+    menu = "<div class=x1><ul><li>Home</li><li>Goods</li></ul></div>"
+    foot = "<div class=x9><p>All rights with the site</p></div>"
+    pages, expected = [], []
+    for n in range(3):  # a small host
+        said = paragraphs(300 + n)
+        body = "".join(f"<p>{p}</p>" for p in said) + "<p>Under a free licence.</p>"
+        pages.append((f"http://s.org/{n}", f"<body>{menu}<div class=c>{body}</div>{foot}</body>"))
+        expected.append(" ".join(said) + " Under a free licence.")
+    for n in range(60):  # a menu of one section of a larger one, and a note within its articles
+        said = paragraphs(400 + n)
+        body = "".join(f"<p>{p}</p>" for p in said)
+        if n % 3:
+            pages.append((f"http://l.org/{n}", f"<body>{menu if n < 9 else ''}{body}</body>"))
+        else:
+            note = "<section class=q><p>Ask us for more</p></section>" if n < 12 else ""
+            pages.append((f"http://l.org/{n}", f"<body><article>{body}{note}</article></body>"))
+        expected.append(" ".join(said))
+    for n in range(4):  # copies without an article element, next to other adverts
+        said = "".join(f"<div class=k{k}><p>{p}</p></div>" for k, p in enumerate(paragraphs(500)))
+        pages.append((f"http://t.org/{n}", f"<body>{said}<div class=z>buy {n}</div></body>"))
+        expected.append(" ".join(paragraphs(500)) + f" buy {n}")
+    pages.append(("http://u.org/", f"<body>{menu}<p>one</p></body>"))
+    expected.append("Home Goods one")
+    assert main_texts(spark, pages) == expected
+
+
 def test_language_and_quality_hold_out(spark, docs, nothing):
     for name, least in (("op10_language", 0.95), ("op8_quality", 0.95)):
         out = LLM_QUERIES[name](spark, "/root/testdata/sf0.01")

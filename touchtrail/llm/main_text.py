@@ -6,16 +6,20 @@ A class or id counts as a whole name; of hyphenated names, those made of listed
 HELPERS only (ad-slot, but not no-sidebar or article-header). No element goes by its class if it
 holds an article or main element, or half of the text that would be left; in an article, names of
 DOUBTFUL_CLASSES are left to the counts per host.
-Besides, every closed element is hashed with all that is in it; hashes are counted per host, and
-elements that stand on at least half of the host's pages, and on at least 20, are part of the
-site's template and go as well. Pages of a host with equal text, as read without its template,
-count as one page, so that copies of an article (mirrors, print or tracking urls) do not make its
-paragraphs a template; nor is anything cut out of an article that would lose half of its text or
-more, as near copies would. Where a page has an article or main element, its text is the page's
-text, else that of the body.
+Besides, every closed element with text is hashed with all that is in it, and hashes are counted per
+host. Groups (div, section, lists) that stand on three pages of a host go, however many pages it
+has. Paragraphs and other elements are what articles may repeat as well, such as a licence line; they
+go if they stand on at least half of the host's pages, and on at least 20.
 
-The template elements of a host are few: if pages have s elements on average, at most 2 s of them
-can stand on half of the pages. They are joined to the pages by host.
+Pages of a host with equal text, as read without its template, count as one page, so that copies of
+an article (mirrors, print or tracking urls) do not make its paragraphs a template. Nor is anything
+cut out of an article that would lose half of its text or more, or of another page of which less
+than a quarter would be left, as near copies would. Where a page has an article or main element, its
+text is the page's text, else that of the body.
+
+Elements on half of a host's pages are few: if pages have s elements on average, at most 2 s of them
+can be that frequent. They are joined to the pages by host. Repeated groups may be many, so they are
+joined to the elements of each page, and a page gets those that it has.
 
 Defined cases: a null or empty html, or one without text, gives an empty text; unclosed elements
 end with the one around them; a url without a host counts as a host of its own; repeated rows give
@@ -38,6 +42,9 @@ from touchtrail.llm.url_filter import host_of
 
 LEAST_SHARE = 0.5
 LEAST_PAGES = 20
+LEAST_PAGES_OF_GROUPS = 3
+# Of a page without article text, what the template must leave.
+LEAST_LEFT = 0.25
 
 # Names of elements, roles and classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,6 +55,7 @@ BLOCKS = frozenset(
     main menu nav ol option p pre search section summary table tbody td tfoot th thead tr
     ul""".split()
 )
+GROUPS = frozenset("center details dir div dl fieldset header hgroup ol section ul".split())
 DROPPED = frozenset(
     """nav footer aside form script style noscript template textarea title iframe noframes xmp head
     button select menu dialog svg canvas object audio video""".split()
@@ -124,10 +132,11 @@ def _unwanted(name: str, attributes: str, in_article: bool) -> str:
     return by_class
 
 
-def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, set[int]]:
+def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, dict[int, tuple[bool, bool]]]:
     """Main text of a page without elements whose hash is in ``template``; hashes of its elements.
 
-    Only elements that are closed by their own end tag are hashed.
+    With each hash: whether it is a group, and whether it is one in the text. Only elements that
+    have text and are closed by their own end tag are hashed.
     """
     # Texts, and which of them stand in an article.
     out: list[str] = []
@@ -136,18 +145,22 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
     # with the number of articles around them.
     cuts: list[tuple[int, int]] = []
     by_class: list[tuple[int, int, int]] = []
-    hashes: set[int] = set()
-    # Open elements: name, place in html, texts before, why they are left out.
-    stack: list[tuple[str, int, int, str]] = []
-    dropped = articles = 0
+    hashes: dict[int, tuple[bool, bool]] = {}
+    # Open elements: name, place in html, texts before, why they are left out, words before.
+    stack: list[tuple[str, int, int, str, int]] = []
+    outside: set[int] = set()
+    dropped = articles = said = 0
     at, size = 0, len(html)
 
     def pop(end: int | None) -> None:
         nonlocal dropped, articles
-        name, start, before, left_out = stack.pop()
-        if end is not None and name in BLOCKS:
+        name, start, before, left_out, said_before = stack.pop()
+        if end is not None and said > said_before and name in BLOCKS:
             number = xxhash.xxh3_64_intdigest(html[start:end].encode("utf-8", "replace"))
-            hashes.add(number)
+            group = name in GROUPS
+            hashes[number] = (group, group and (articles > 0 or hashes.get(number, (0, False))[1]))
+            if group and not articles:
+                outside.add(number)
             if number in template:
                 cuts.append((before, len(out)))
         dropped -= left_out == "surely"
@@ -158,7 +171,9 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
             add(" ")
 
     def add(text: str) -> None:
+        nonlocal said
         if not dropped and text:
+            said += not text.isspace()
             out.append(text)
             inside.append(articles > 0)
 
@@ -195,23 +210,26 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, s
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
             at = end.end() if end else size
             continue
-        stack.append((name, mark.start(), len(out), left_out))
+        stack.append((name, mark.start(), len(out), left_out, said))
         dropped += left_out == "surely"
         articles += name in ("article", "main")
     while stack:
         pop(None)
     if by_class:
         _drop_by_class(out, inside, by_class)
-    article = [text for text, held in zip(out, inside) if held]
+    # An article that holds no text leaves the rest of the page to speak for it.
+    whole = _spaced([text for text, held in zip(out, inside) if held])
+    least = 1 - LEAST_SHARE
+    if not whole:
+        inside = [True] * len(out)
+        whole, least = _spaced(out), LEAST_LEFT
+        hashes |= dict.fromkeys(outside, (True, True))
+    if not cuts:
+        return whole, hashes
     for start, end in cuts:
         out[start:end] = [""] * (end - start)
-    # An article that holds no text leaves the rest of the page to speak for it.
-    text = whole = _spaced(article)
-    if cuts:
-        text = _spaced([text for text, held in zip(out, inside) if held])
-        if len(text) <= (1 - LEAST_SHARE) * len(whole):
-            text = whole
-    return text or _spaced(out), hashes
+    text = _spaced([text for text, held in zip(out, inside) if held])
+    return whole if len(text) <= least * len(whole) else text, hashes
 
 
 def _drop_by_class(out: list[str], inside: list[bool], runs: list[tuple[int, int, int]]) -> None:
@@ -236,27 +254,39 @@ def _spaced(texts: list[str]) -> str:
 
 
 def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, element, content): elements of each page, a null for the page, the hash of its text."""
+    """(host, page, element, content, group, used) per element; a null element stands for the page.
+
+    content: hash of the page's text; used: the element is a group in that text.
+    """
     for batch in batches:
-        hosts, numbers, contents = [], [], []
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        hosts, pages, numbers, contents, kinds = [], [], [], [], []
+        given = (column.to_pylist() for column in batch.columns)
+        for host, page, html in zip(*given):
             text, found = read_page(html)
             content = xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
             hosts += [host] * (len(found) + 1)
+            pages += [page] * (len(found) + 1)
             numbers += [None, *found]
             contents += [content] * (len(found) + 1)
+            kinds += [(False, False), *found.values()]
         signed = [pa.array(n, pa.uint64()).view(pa.int64()) for n in (numbers, contents)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), *signed], ["host", "element", "content"]
+            [
+                pa.array(hosts, pa.string()),
+                pa.array(pages, pa.int64()),
+                *signed,
+                *(pa.array([kind[n] for kind in kinds], pa.bool_()) for n in (0, 1)),
+            ],
+            ["host", "page", "element", "content", "group", "used"],
         )
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        rows = zip(batch.column("_html").to_pylist(), batch.column("_template"))
-        for html, template in rows:
-            numbers = template.as_py() or ()
+        rows = zip(*(batch.column(n) for n in ("_template", "_groups")))
+        for html, lists in zip(batch.column("_html").to_pylist(), rows):
+            numbers = [n for numbers in lists for n in numbers.as_py() or ()]
             texts.append(read_page(html, frozenset(n & (2**64 - 1) for n in numbers))[0])
         yield pa.RecordBatch.from_arrays(
             [
@@ -269,37 +299,55 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def template_elements(pages: DataFrame) -> DataFrame:
-    """(host, elements): hashes of the elements that make up the template of a host."""
+def template_elements(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hashes of the elements that make up the template of a host: those of all of its pages, as
+    (host, _template), and the groups by page, as (host, page, _groups).
+    """
+    rows = written(
+        pages.select("host", "page", "_html").mapInArrow(
+            _element_rows,
+            "host string, page long, element long, content long, group boolean, used boolean",
+        ),
+        "elements",
+    )
     counted = written(
-        pages.select("host", "_html")
-        .mapInArrow(_element_rows, "host string, element long, content long")
+        rows.select("host", "element", "content", "group")
         .distinct()
         .groupBy("host", "element")
-        .agg(F.count("*").alias("n"))
-        .where(f"n >= {LEAST_PAGES}"),
-        "elements",
+        .agg(F.count("*").alias("n"), F.max("group").alias("group"))
+        .where(f"n >= {LEAST_PAGES} or group and n >= {LEAST_PAGES_OF_GROUPS}"),
+        "counts",
     )
     sizes = counted.where("element is null").select("host", F.col("n").alias("pages"))
-    return (
-        counted.where("element is not null")
+    frequent = (
+        counted.where(f"element is not null and n >= {LEAST_PAGES}")
         .join(sizes, "host")
         .where(F.col("n") >= LEAST_SHARE * F.col("pages"))
         .groupBy("host")
         .agg(F.collect_list("element").alias("_template"))
     )
+    groups = (
+        rows.where("used")
+        .join(counted.where("group").select("host", "element"), ["host", "element"])
+        .groupBy("host", "page")
+        .agg(F.collect_set("element").alias("_groups"))
+    )
+    return frequent, groups
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     chosen = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
-        F.coalesce(F.col("html").cast("string"), F.lit("")).alias("_html"),
+        html.alias("_html"),
+        F.xxhash64(html).alias("page"),
     ).withColumn("host", F.coalesce(host_of(F.col("url")), F.lit("")))
-    templates = written(template_elements(chosen), "templates")
+    frequent, groups = template_elements(chosen)
     return (
-        chosen.join(templates, "host", "left")
-        .select("page_id", "url", "_html", "_template")
+        chosen.join(written(frequent, "templates"), "host", "left")
+        .join(written(groups, "groups"), ["host", "page"], "left")
+        .select("page_id", "url", "_html", "_template", "_groups")
         .mapInArrow(_text_rows, "page_id long, url string, text string, n_chars long")
     )
