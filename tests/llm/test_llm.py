@@ -242,6 +242,30 @@ def test_each_occurrence_of_a_leak_is_judged_on_its_own(spark, docs):
     assert all(r.view == "template" for r in found.values())
 
 
+def test_leaks_with_many_and_compound_slots(spark, docs):
+    trip = (
+        "Ben drives 12 miles on Monday and pays 3 dollars for fuel then Carla drives 1,200 miles on "
+        "Friday and pays 9 dollars while the price of fuel stays at 4 dollars for each of them"
+    )
+    other = trip.replace("Ben", "Mary Ann").replace("12 miles", "2.5 miles").replace("Carla", "Jo Lee")
+    other = other.replace("1,200", "7").replace("3 dollars", "1,000.50 dollars")
+    room = "the floor of a room has 40 square feet and needs 12 pounds of paint to cover all of it"
+    rows = [
+        (1, "so what is 5 + 61 - 8 x 9 then"), (2, other), (3, f"{other} and {trip}"),
+        (4, trip.upper().replace("12", "85").replace("1,200", "3.75").replace("9", "6")),
+        (5, room.replace("40 square feet", "9.5 meters").replace("12 pounds", "3 fluid ounces")),
+        (6, "What is 12 to 7 or 3 x 4"), (7, "is 1 2 3 x"),
+        (8, "5 9 2 7 1 4 " * 300 + "Ann Bob Cid " * 300),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(1, "What is 12 + 7 - 3 x 4"), (2, trip), (3, room), (4, "12 7 3 9 8"), (5, "Add 1,200 to 2.5 now")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.view for r in decontaminate.leaks(table, bench).collect()}
+    assert {(1, 1), (2, 2), (3, 2), (4, 2), (5, 3)} == set(found)
+    more = spark.createDataFrame([(1, "please add 31 to 4,000 now")], "doc_id long, text string")
+    assert [r.item_id for r in decontaminate.leaks(more, bench).collect()] == [5]
+
+
 def test_main_text():
     page = (
         "<html><head><title>t</title><script>var a='</p>';</script></head><body><nav>menu</nav>"

@@ -8,6 +8,15 @@ literal windows are not enough, the slots must be consistent: the values that on
 turns into are counted over the matched windows, and three quarters of the slots must agree with
 the most frequent one.
 
+Items with many or compound slots are found by a second reading, in which a slot is one placeholder
+however many words it has: a number with separators or decimals (signs do not count), a run of
+capitalised words, a unit such as square feet or miles per hour. Its windows are five words or
+placeholders, and more where needed for two literal words; those without them at the end of an item
+are left out. An item is also held if three quarters of these windows are found with consistent
+slots. The reading is done with names as placeholders and with names as words, since case tells
+nothing in a copy all in capitals or small letters; other names in such a copy cost the windows
+that they stand in.
+
 A document may hold several variants of an item, so windows and slots are judged per occurrence as
 well as over the whole document; one that passes is enough. An occurrence is all matches of equal
 distance between their places in document and item, or of distances within a band of half the
@@ -32,8 +41,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchtrail.llm.common import (
+    _WORD_BASE,
     lowered,
     mixed,
+    powers,
     text_blocks,
     window_hashes,
     word_hashes,
@@ -56,7 +67,10 @@ UNITS = (
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _NUMBER, _NAME, _UNIT = (np.uint64(n) for n in (0xA11CE5, 0xB0B5, 0xC0FFEE))
-_VIEWS = ("plain", "template")
+_KINDS = np.array([0, _NUMBER, _UNIT, _NAME], np.uint64)
+_SEPARATORS = np.zeros(256, bool)
+_SEPARATORS[[ord(c) for c in ".,:/"]] = True
+_VIEWS = ("plain", "template", "typed", "caseless")
 _SHARED_BUCKET = 4096 * 8
 
 
@@ -67,6 +81,9 @@ def _hashes_of(words: list[str]) -> np.ndarray:
 
 
 _UNIT_HASHES = _hashes_of(UNITS)
+_OF_UNIT = _hashes_of("square cubic fluid nautical".split())
+_PER = _hashes_of(["per"])
+_BACK = np.uint64(pow(int(_WORD_BASE), -1, 1 << 64))
 
 
 def _folded(data: np.ndarray) -> np.ndarray:
@@ -79,11 +96,12 @@ def _folded(data: np.ndarray) -> np.ndarray:
 
 
 def _windows(
-    texts: pa.Array, widths: tuple[int, ...], whole: bool
+    texts: pa.Array, widths: tuple[int, ...], whole: bool, typed: tuple[int, ...]
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, tuple]]:
     """Per block and width: view, hashes, first words, texts, and what slot values are read from.
 
-    ``whole``: widths below WIDTH only where they are all the words of the text.
+    ``whole``: widths below WIDTH only where they are all the words of the text. ``typed``: what
+    widths below and beyond WIDTH windows with placeholders may have, if it is not ``whole``.
     """
     for block, offsets, data in text_blocks(texts):
         folded = _folded(data)
@@ -118,30 +136,100 @@ def _windows(
             for view, values, chosen in ((0, words, inside), (1, template, usable)):
                 first = np.flatnonzero(chosen)
                 keys = mixed(window_hashes(values, width)[first] + np.uint64(view * 8 + width))
-                source = (data, starts, ends, slot, width, begin)
+                source = (data, starts, ends, slot, np.broadcast_to(width, size), begin)
                 yield block, view, keys, first, owner[first], source
+        together = owner[1:] == owner[:-1]
+        before_unit = np.append(unit[1:] & together, False)
+        after_unit = np.append(False, unit[:-1] & together)
+        part = before_unit & (words[:, None] == _OF_UNIT).any(1)
+        part |= before_unit & after_unit & (words == _PER)
+        kinds = np.where(number, 1, np.where(unit | part, 2, np.where(name, 3, 0)))
+        for view in (2, 3):
+            spans = (data, starts, ends)
+            found = _typed_windows(words, kinds, spans, owner, len(offsets) - 1, whole, typed)
+            for hashes, first, of_text, source in found:
+                yield block, view, mixed(hashes + np.uint64(view * 8)), first, of_text, source
+            kinds = np.where(kinds == 3, 0, kinds)
+
+
+def _typed_windows(
+    words: np.ndarray,
+    kinds: np.ndarray,
+    spans: tuple[np.ndarray, np.ndarray, np.ndarray],
+    owner: np.ndarray,
+    texts: int,
+    whole: bool,
+    typed: tuple[int, ...],
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, tuple]]:
+    """Hashes, first tokens, texts, and what slot values are read from; kinds are those of words.
+
+    A token is a literal word or a placeholder for a run of words.
+    """
+    data, starts, ends = spans
+    joined = np.zeros(len(words), bool)
+    joined[1:] = (kinds[1:] > 0) & (kinds[1:] == kinds[:-1]) & (owner[1:] == owner[:-1])
+    one_number = (starts[1:] - ends[:-1] == 1) & _SEPARATORS[data[ends[:-1]]] if len(words) > 1 else []
+    joined[1:] &= (kinds[1:] != 1) | one_number
+    head = np.flatnonzero(~joined)
+    last = np.append(head[1:], len(words)) - 1
+    slot, of_text, size = kinds[head] > 0, owner[head], len(head)
+    tokens = np.where(slot, _KINDS[kinds[head]], words[head])
+    counts = np.bincount(of_text, minlength=texts)
+    begin = np.cumsum(counts) - counts
+    end, at = (begin + counts)[of_text], np.arange(size)
+    # The window from a token on ends with its fifth token or its second literal word.
+    literals = np.append(np.flatnonzero(~slot), size)
+    before = np.concatenate(([0], np.cumsum(~slot)))
+    reach = literals[np.minimum(before[:-1] + LEAST_LITERALS - 1, len(literals) - 1)] + 1
+    until = np.maximum(at + WIDTH, reach)
+    fits = until <= end
+    if not whole:
+        fits &= until - at <= max(typed, default=WIDTH)
+    choices = [(until, fits)]
+    short = [end] if whole else [at + width for width in typed if width < WIDTH]
+    for until in short:
+        fits = (until <= end) & (until - at < WIDTH)
+        if whole:
+            fits &= at == begin[of_text]
+        enough = before[np.minimum(until, size)] - before[:-1]
+        choices.append((until, fits & (enough >= LEAST_LITERALS) & (enough < until - at)))
+    # Hashes of windows of any width, from sums of all tokens before.
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum(tokens * powers(_WORD_BASE, size), out=sums[1:])
+    back = powers(_BACK, size)
+    for until, fits in choices:
+        first = np.flatnonzero(fits)
+        hashes = mixed((sums[until[first]] - sums[first]) * back[first])
+        source = (data, starts[head], ends[last], slot, until - at, begin)
+        yield hashes, first, of_text[first], source
 
 
 def _slot_values(first: int, source: tuple) -> list[str]:
-    data, starts, ends, slot, width, _ = source
+    data, starts, ends, slot, widths, _ = source
     return [
         data[starts[n] : ends[n]].tobytes().decode("utf-8", "replace").lower()
-        for n in range(first, first + width)
+        for n in range(first, first + widths[first])
         if slot[n]
     ]
 
 
 def _window_rows(
-    table: DataFrame, key: str, widths: tuple[int, ...], whole: bool, bitmap: bytes | None
+    table: DataFrame,
+    key: str,
+    widths: tuple[int, ...],
+    whole: bool,
+    bitmap: bytes | None,
+    typed: tuple[int, ...] = (),
 ) -> DataFrame:
-    """(key, view, hash, place, slots) of all windows, or of those that the bitmap holds."""
+    """(key, view, hash, place, width, slots) of all windows, or of those that the bitmap holds."""
     sent = table.sparkSession.sparkContext.broadcast(bitmap)  # BITMAP_BITS at most
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if sent.value is None else np.frombuffer(sent.value, np.uint8)
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for block, view, keys, first, owner, source in _windows(batch.column(1), widths, whole):
+            every = _windows(batch.column(1), widths, whole, typed)
+            for block, view, keys, first, owner, source in every:
                 if bits is not None:
                     place = (keys % np.uint64(BITMAP_BITS)).astype(np.int64)
                     held = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
@@ -154,16 +242,17 @@ def _window_rows(
                             pa.array([_VIEWS[view]] * len(keys)),
                             pa.array(keys.view(np.int64)),
                             pa.array((first - source[-1][owner]).astype(np.int64)),
+                            pa.array(source[-2][first].astype(np.int64)),
                             pa.array(slots, pa.list_(pa.string())),
                         ],
-                        [key, "view", "hash", "place", "slots"],
+                        [key, "view", "hash", "place", "width", "slots"],
                     )
 
     chosen = table.where(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text")
     )
     return chosen.mapInArrow(
-        rows, f"{key} long, view string, hash long, place long, slots array<string>"
+        rows, f"{key} long, view string, hash long, place long, width long, slots array<string>"
     )
 
 
@@ -188,13 +277,22 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     doc_id, item_id, matched and all windows of the item, their share, whether literal windows
     were enough (view plain) or templates were needed, and the share of consistent slots (1 for
-    the plain view). The figures are those of the whole document if it passes as a whole, else of
+    the plain view). Matched and all windows are those of the reading that passes, the one by single
+    words if both do. The figures are those of the whole document if it passes as a whole, else of
     the best occurrence.
     """
     every = tuple(range(1, WIDTH + 1))
     items = _window_rows(benchmark, "item_id", every, True, None)
-    items = items.select("item_id", "view", "hash", F.col("place").alias("at"), "slots")
-    items = items.withColumnRenamed("slots", "item_slots").distinct()
+    reading = F.when(F.col("view").isin("plain", "template"), "words").otherwise(F.col("view"))
+    items = items.select(
+        "item_id",
+        "view",
+        reading.alias("reading"),
+        "hash",
+        F.col("place").alias("at"),
+        "width",
+        F.col("slots").alias("item_slots"),
+    ).distinct()
     bitmap = _bitmap(items)
     # Short windows are looked for only if some item is that short.
     lengths = benchmark.select(F.col("text").cast("string").alias("text"))
@@ -203,13 +301,17 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         row["n"] for row in lengths.select(words.alias("n")).where(f"n < {WIDTH}").distinct().collect()
     ]
     widths = (*sorted(n for n in short if n and n > 0), WIDTH)
-    found = _window_rows(documents, "doc_id", widths, False, bitmap)
+    # At most the words of the longest item.
+    typed = items.where("reading <> 'words'").select("width").distinct().collect()
+    typed = tuple(sorted(row["width"] for row in typed))
+    found = _window_rows(documents, "doc_id", widths, False, bitmap, typed).drop("width")
     sizes = (
-        items.where("view = 'plain'")
-        .groupBy("item_id")
+        items.where("view <> 'template'")
+        .groupBy("item_id", "reading")
         .agg(F.countDistinct("at").alias("item_windows"))
     )
-    hits = written(found.join(items.join(sizes, "item_id"), ["view", "hash"]), "hits")
+    items = items.drop("width").join(sizes, ["item_id", "reading"])
+    hits = written(found.join(items, ["view", "hash"]), "hits")
 
     distance, step = F.col("place") - F.col("at"), F.greatest(F.lit(1), F.expr("item_windows div 4"))
     band = F.floor(distance / step)
@@ -222,7 +324,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             )
         ),
     )
-    one = ["doc_id", "item_id", "scope"]
+    one = ["doc_id", "item_id", "reading", "scope"]
     # Several windows of a document may match one window of the item; that is one match.
     matched = (
         hits.groupBy(*one, "item_windows", "at")
@@ -232,7 +334,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     enough = matched.where(F.col("matched") >= LEAST_SHARE * F.col("item_windows"))
     turned = (
-        hits.where("view = 'template'")
+        hits.where("view <> 'plain'")
         .select(*one, F.explode(F.arrays_zip("item_slots", "slots")).alias("slot"))
         .groupBy(*one, F.col("slot.item_slots").alias("old"), "slot.slots")
         .agg(F.count("*").alias("n"))
@@ -243,9 +345,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     literal = F.col("literal") >= LEAST_SHARE * F.col("item_windows")
     consistency = F.when(literal, 1.0).otherwise(F.coalesce("agreeing", F.lit(1.0)))
-    whole = F.col("scope.kind") == "whole"
     best = F.struct(
-        literal.alias("literal"), whole.alias("whole"), "matched", "consistency", "item_windows"
+        literal.alias("literal"),
+        (F.col("reading") == "words").alias("words"),
+        (F.col("scope.kind") == "whole").alias("whole"),
+        "matched",
+        "consistency",
+        "item_windows",
     )
     return (
         enough.join(turned, one, "left")
