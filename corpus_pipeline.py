@@ -1,6 +1,7 @@
 """A corpus from raw documents to tokens: five stages, each written and read by the next one.
 
-1. language: documents without letters and those whose best language scores low go.
+1. language: documents without letters and those whose best language scores low go; where no
+   document has a known language to learn from, all with letters stay.
 2. near_duplicates: one document of each group of near copies stays, the one of smallest id.
 3. passages: bytes covered by a passage of 100 bytes that occurs earlier are cut out.
 4. decontaminate: documents that hold a benchmark item go.
@@ -24,11 +25,14 @@ LEAST_LANGUAGE_SCORE = 0.3
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the documents at hand; keeps their columns."""
     importable(spark)
+    model = language.fit(docs)
+    if model is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
     texts = docs.select(
         *(F.col(name).alias(f"_{n}") for n, name in enumerate(docs.columns)),
         F.col("text").cast("string").alias("text"),
     )
-    judged = language.with_language(texts, language.fit(docs))
+    judged = language.with_language(texts, model)
     kept = judged.where(
         (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
     )

@@ -374,3 +374,40 @@ def test_pipeline_on_the_small_tables(spark, docs):
     given = common.read_table(spark, sf, "documents")
     assert 0 < out.count() <= given.count() and out.join(given, "doc_id", "left_anti").isEmpty()
     assert out.select("doc_id").distinct().count() == out.count()
+
+
+def test_pipeline_equals_the_plain_stages(spark, docs, tmp_path):
+    item = "Anna walks 12 miles in 3 hours while Ben walks 9 miles in the same time how far apart are they"
+    other = item.replace("Anna", "Carla").replace("12", "20").replace("Ben", "David")
+    said = [" ".join(paragraphs(n)) for n in (600, 601, 602)]
+    given = [t for t in texts() if t is None or len(t) != 1600]
+    given += [said[0], f"{said[1]} {item}", f"{other} {said[2]}", "12 34, 56!", "日本", said[0] + " end"]
+    leaked = {len(given) - 5, len(given) - 4}
+    spark.createDataFrame(
+        [(n, t, None, None, None, 1.0, n) for n, t in enumerate(given)], DOCS
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    kept, seen, expected = [], set(), {}
+    for n, text in enumerate(given):
+        if not any(c.isalpha() for c in text or ""):
+            continue
+        near = [shingles(given[m]) for m in kept]
+        own = shingles(text)
+        if any(100 * len(own & s) >= 75 * len(own | s) for s in near):
+            continue
+        kept.append(n)
+    for n in kept:
+        data = given[n].encode()
+        gone = np.zeros(len(data), bool)
+        for at in range(len(data) - 99):
+            if data[at : at + 100] in seen:
+                gone[at : at + 100] = True
+            seen.add(data[at : at + 100])
+        if n not in leaked:
+            left = bytes(b for b, g in zip(data, gone) if not g)
+            expected[n] = hashlib.sha256(left).hexdigest()
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in out} == expected and len(out) == len(expected)
+    assert 0 < len(expected) < len(kept) < len(given)
