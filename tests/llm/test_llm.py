@@ -185,6 +185,17 @@ def test_rules_and_walks(spark, docs):
     assert url_filter.judge_urls(pages.where("false"), URL_RULES).count() == 0
 
 
+def test_walks_reach_the_end_of_a_long_chain(spark, docs, monkeypatch):
+    monkeypatch.setattr(url_filter, "TOLERANCE", 0.05)
+    names = [f"h{n}.org" for n in range(33)] + ["b.net/es/0"]
+    rows = [(n, f"http://b.net/es/{n}", "") for n in range(3000)]
+    for n, (name, to) in enumerate(zip(names, names[1:])):
+        rows.append((3000 + n, f"http://{name}/", f'<a href="//{to}">'))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = url_filter.judge_urls(pages, URL_RULES).where("page_id >= 3000").collect()
+    assert len(out) == 33 and {r.verdict for r in out} == {"block"}
+
+
 def test_chat_reads_back_and_validates(spark, docs):
     rows = [
         (1, 0, "user", "</s>[INST] &lt; a|b [/INST]"),

@@ -16,6 +16,7 @@ count as pages of their own; an empty table gives no rows; other columns are ign
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil, log
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -24,12 +25,12 @@ from pyspark.sql import functions as F
 from touchtrail.llm.common import written
 
 DAMPING = 0.85
-MOST_ROUNDS = 30
-# The walk ends once the masses of a round differ by less than this in total.
+# The walk ends once a round moves less than this, in pages of the seeds: no host's value per page
+# then changes by more.
 TOLERANCE = 1e-6
 BLOCK_AT = 0.5
 
-_LINK = r"""(?i)\bhref\s*=\s*["']?\s*[a-z][a-z0-9+.\-]*://([^/?#"'\s>]+)"""
+_LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
 
 
 @dataclass(frozen=True)
@@ -105,6 +106,7 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
     kinds = F.stack(F.lit(2), F.lit("trust"), F.col("trust"), F.lit("distrust"), F.col("distrust"))
     start = seeds.select("host", kinds.alias("kind", "start")).where("start > 0")
     sums = start.groupBy("kind").agg(F.sum("start").alias("sum"))
+    totals = {row[0]: row[1] for row in sums.collect()}  # one row per kind
     start = written(
         start.join(F.broadcast(sums), "kind").select(  # one row per kind
             "kind", "host", (F.col("start") / F.col("sum")).alias("start")
@@ -112,8 +114,13 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
         "host-seeds",
     )
     mass = start.select("kind", "host", F.col("start").alias("mass"))
-    # Nothing moves without links.
-    rounds = 0 if steps.isEmpty() else MOST_ROUNDS
+    # Nothing moves without links or seeds. A round moves 2 at most, each later one DAMPING of that.
+    rounds = 0
+    if totals and not steps.isEmpty():
+        rounds = max(1, ceil(log(TOLERANCE / (2 * sum(totals.values()))) / log(DAMPING)))
+    in_pages = F.when(F.col("kind") == "trust", totals.get("trust", 0.0)).otherwise(
+        totals.get("distrust", 0.0)
+    )
     leaving = steps.select("kind", F.col("src").alias("host")).distinct()
     for _ in range(rounds):
         stuck = mass.join(leaving, ["kind", "host"], "left_anti").groupBy("kind").agg(F.sum("mass"))
@@ -139,7 +146,7 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
             "host-mass",
         )
         mass = step.select("kind", "host", "mass")
-        if step.agg(F.sum("change")).first()[0] < TOLERANCE:
+        if step.agg(F.sum(F.col("change") * in_pages)).first()[0] < TOLERANCE:
             break
     return mass.groupBy("host").agg(
         *(
