@@ -12,12 +12,15 @@ from touchtrail.llm import (
     bpe,
     chat,
     decontaminate,
+    hard_negatives,
     language,
     main_text,
     minhash,
     near_vectors,
     passages,
+    prefix_trie,
     quality,
+    secrets,
     url_filter,
 )
 from touchtrail.llm.common import read_table
@@ -92,6 +95,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(read_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(read_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -109,6 +124,9 @@ LLM_QUERIES: dict[str, Query] = {
         op8_quality,
         op9_main_text,
         op10_language,
+        op11_secret_scan,
+        op12_hard_negatives,
+        op13_prefix_trie,
         pipeline,
     )
 }
@@ -143,4 +161,71 @@ LLM_ORACLE: dict[str, str] = {
             sha256(loss) as loss_sha256, cast(formatted_chars as bigint) as formatted_chars, valid
         from whole
     """,
+    "op12_hard_negatives": """
+        with rows as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * cast(x as double))) as scaled
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scores as (
+            select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+                cast(list_inner_product(a.scaled, b.scaled) as bigint) as score
+            from rows a join rows b on a.vec_id % 100 = 0 and len(a.scaled) = len(b.scaled)
+        ), positives as (
+            select * from scores where same and other <> anchor_id
+            qualify row_number() over (
+                partition by anchor_id order by score desc, other) <= 5
+        )
+        select p.anchor_id, p.other as positive_id, cast(row_number() over best as integer) as rank,
+            n.other as negative_id, p.score as positive_score, n.score as negative_score
+        from positives p join scores n on n.anchor_id = p.anchor_id and not n.same
+            and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+        window best as (partition by p.anchor_id, p.other order by n.score desc, n.other)
+        qualify row_number() over best <= 10
+    """,
+    "op13_prefix_trie": """
+        with ids as (
+            select distinct conv_id as c from conversations where conv_id is not null
+        ), steps as (
+            select c, list_concat([4294967295], flatten(list_transform(string_split(cast(c as varchar), ''),
+                lambda ch: [cast(ascii(ch) as bigint), 0, 0, 0, 0, 0, 0, 0]))) as bits from ids
+        ), hashed as (
+            select c, xor(list_reduce(bits, lambda a, x:
+                xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295) % 9 as h from steps
+        ), turns as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, id) as place from (
+                select conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '')
+                    || coalesce(text, '')) as id, strlen(coalesce(text, '')) as bytes
+                from conversations where conv_id is not null)
+        ), rebuilt as (
+            select c, id, bytes, row_number() over (partition by c order by own, place) as d from (
+                select c, id, bytes, place, 0 as own from hashed join turns on conv_id = c - c % 5
+                    where place <= h
+                union all
+                select c, id, bytes, place, 1 from hashed join turns on conv_id = c where place > h)
+        ), prefixes as (
+            select c, d, bytes, string_agg(id, '/') over (partition by c order by d) as path from rebuilt
+            union all select c, 0, 0, '' from ids
+        ), lasts as (
+            select *, d = max(d) over (partition by c) as ends,
+                lag(path) over (partition by c order by d) as above from prefixes
+        ), nodes as (
+            select d, path, any_value(above) as above, min(c) as conv_id, count(*) as n, any_value(bytes) as b,
+                sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where ends), ''))
+                    as ends_sha256
+            from lasts group by d, path
+        ), kids as (
+            select above as path, count(*) as n_children from nodes where d > 0 group by 1
+        ), sums as (
+            select p.path, p.d, sum((n.n - 1) * n.b) as saved, count(*) filter (where k.path is null) as leaves
+            from nodes n join prefixes p on p.c = n.conv_id and p.d <= n.d left join kids k on k.path = n.path
+            group by 1, 2
+        )
+        select n.conv_id, n.d as depth, u.conv_id as parent_conv_id, n.n as n_convs,
+            coalesce(k.n_children, 0) as n_children, s.leaves as n_leaves,
+            cast(s.saved as bigint) as saved_tokens, n.ends_sha256
+        from nodes n join sums s on s.path = n.path and s.d = n.d
+        left join nodes u on u.path = n.above and u.d = n.d - 1 left join kids k on k.path = n.path
+    """,
 }
