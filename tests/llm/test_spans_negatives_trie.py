@@ -112,6 +112,24 @@ def test_unlabelled_credentials_are_found_and_words_are_not(secret_docs):
     assert not [w for w in found if re.fullmatch("(ver|ein|ung|heit|ation|ment|schaft|lich|keit|con)+", w)]
 
 
+def test_examples_are_the_values_of_smallest_hash(secret_docs):
+    frame, texts, _ = secret_docs
+    values = {}
+    for text in texts:
+        base = secrets.base_spans(text or "")
+        for kind, _, _, value in base:
+            values.setdefault(kind, set()).add(value)
+        for start, end in secrets.candidates(text or "", base):
+            values.setdefault(secrets.ORDINARY, set()).add(text[start:end])
+    for most in (7, 100, 10**6):
+        got = {}
+        for row in secrets.examples(frame, most).orderBy("place").collect():
+            got.setdefault(row.kind, []).append(row.value)
+        for kind, every in values.items():
+            short = [v for v in every if len(v) <= secrets.LONGEST_EXAMPLE]
+            assert got.get(kind, []) == sorted(short, key=lambda v: (secrets._hash(v), v))[:most]
+
+
 def test_secret_scan_of_empty_tables_and_tables_without_credentials(spark, secret_docs):
     frame, _, _ = secret_docs
     assert secrets.find_secrets(frame.where("false")).count() == 0

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchtrail.llm.common import short_lived, written
+
 # The rules, and how long a match of each must be.
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(
@@ -59,6 +61,8 @@ REJECTED = 0.01
 LEAST_EVIDENCE = math.log(1_000)
 
 _SYMBOLS = 128
+# Hashes are counted in classes of magnitude, so many for each factor of two.
+_STEPS_PER_DOUBLING = 64
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -297,11 +301,26 @@ def examples(docs: DataFrame, most: int = EXAMPLES) -> DataFrame:
     gathered = _texts(docs).select("text").mapInArrow(
         smallest, "kind string, value string, hashed long"
     )
-    # The rank limit works before the shuffle too: a task sends no more rows than it may keep.
+    distinct = written(
+        gathered.groupBy("kind", "value").agg(F.first("hashed").alias("hashed")), "values"
+    )
+    # Every task sends its smallest, so most of them are not among the smallest of all. Counts by
+    # the magnitude of the hash tell where those end, before one task ranks what is left.
+    step = F.floor(F.log2(F.col("hashed").cast("double") + 2.0**63 + 1) * _STEPS_PER_DOUBLING)
+    distinct = distinct.withColumn("step", step)
+    up_to = Window.partitionBy("kind").orderBy("step")
+    last_steps = (
+        distinct.groupBy("kind", "step")
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.sum("n").over(up_to) - F.col("n"))
+        .where(F.col("before") < most)
+        .groupBy("kind")
+        .agg(F.max("step").alias("last_step"))
+    )
+    near = distinct.join(last_steps, "kind").where("step <= last_step")
     ranked = Window.partitionBy("kind").orderBy("hashed", "value")
-    distinct = gathered.groupBy("kind", "value").agg(F.first("hashed").alias("hashed"))
     return (
-        distinct.withColumn("place", F.row_number().over(ranked))
+        near.withColumn("place", F.row_number().over(ranked))
         .where(F.col("place") <= most)
         .select("kind", "value", "place")
     )
@@ -329,14 +348,15 @@ def fit(docs: DataFrame, most: int = EXAMPLES) -> Model | None:
         )
 
     # At most ``most`` values a kind, so neither a group nor what comes back grows with the corpus.
-    rows = {
-        row.kind: row
-        for row in examples(docs, most)
-        .groupBy("kind")
-        .applyInPandas(learned, "kind string, least double, states int, table binary")
-        .collect()
-        if row.states
-    }
+    with short_lived(docs.sparkSession):
+        rows = {
+            row.kind: row
+            for row in examples(docs, most)
+            .groupBy("kind")
+            .applyInPandas(learned, "kind string, least double, states int, table binary")
+            .collect()
+            if row.states
+        }
     kinds = {
         kind: (_automaton(rows[kind]), rows[kind].least) for kind in KINDS if kind in rows
     }
