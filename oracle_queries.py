@@ -42,11 +42,13 @@ def _web(user: str) -> str:
 )"""
 
 
-def _staged(user: str = _PLAIN_USER) -> str:
-    return f"""{_web(user)}, stacked AS (
+def _staged(user: str = _PLAIN_USER, landed: str = "landed") -> str:
+    return f"""{_web(user)}, in_seconds AS (
+    SELECT * REPLACE (date_trunc('second', event_ts) AS event_ts) FROM landed
+), stacked AS (
     SELECT {_EVENT_COLUMNS}, 0 AS origin FROM web WHERE event_ts < TIMESTAMP '2024-01-24'
     UNION ALL
-    SELECT {_EVENT_COLUMNS}, 1 AS origin FROM landed
+    SELECT {_EVENT_COLUMNS}, 1 AS origin FROM {landed}
 ), {_deduped("stacked")}"""
 
 
@@ -63,8 +65,8 @@ def _deduped(source: str) -> str:
 )"""
 
 
-def _journey(days: int, user: str = _PLAIN_USER) -> str:
-    return f"""{_staged(user)}, sessions AS (
+def _journey(days: int, user: str = _PLAIN_USER, landed: str = "landed") -> str:
+    return f"""{_staged(user, landed)}, sessions AS (
     SELECT user_pseudo_id, ga_session_id, min(event_ts) AS touchpoint_ts,
         first(source ORDER BY event_ts, event_name) FILTER (WHERE source IS NOT NULL) AS source,
         first(medium ORDER BY event_ts, event_name) FILTER (WHERE medium IS NOT NULL) AS medium,
@@ -92,6 +94,7 @@ def _journey(days: int, user: str = _PLAIN_USER) -> str:
 ), marts AS (SELECT * FROM first_click UNION ALL SELECT * FROM last_click)"""
 
 
+# The channel rules and labels, the models, the fallback labels.
 def _channel(medium: str) -> str:
     return f"""CASE WHEN {medium} IN ('cpc', 'ppc', 'paidsearch') THEN 'Paid Search'
             WHEN {medium} = 'organic' THEN 'Organic Search'
@@ -143,6 +146,14 @@ _ARRIVED = f"""arrived AS (
     FROM web
 )"""
 
+# The parameters that an event carries in the nested layout.
+_PARAM_KEYS = """SELECT event_ts, list_filter([
+    CASE WHEN campaign IS NOT NULL AND source IS NOT NULL THEN 'source' END,
+    CASE WHEN campaign IS NOT NULL AND medium IS NOT NULL THEN 'medium' END,
+    CASE WHEN campaign IS NOT NULL THEN 'campaign' END,
+    CASE WHEN ga_session_id IS NOT NULL THEN 'ga_session_id' END
+], lambda key: key IS NOT NULL) AS keys FROM web"""
+
 _REBUILD_TESTS = [
     (
         "staged_events",
@@ -162,6 +173,20 @@ def oracle_queries() -> dict[str, str]:
     web, staged = _web(_PLAIN_USER), _staged()
     month, day = _journey(30), _journey(1)
     named = _journey(30, _NAMED_USER)
+    live = f"""{web} SELECT event_ts, event_name, user_pseudo_id, source, medium,
+            purchase_revenue FROM web
+            ORDER BY event_ts DESC NULLS LAST, {_LANDING_ID} NULLS FIRST LIMIT 25"""
+    fresh = f"""{web}, last_row AS (
+            SELECT max(date_trunc('second', event_ts)) AS last_inserted_at FROM web
+        ), aged AS (
+            SELECT last_inserted_at, (epoch_us(TIMESTAMP '2024-01-31 00:30:00')
+                - epoch_us(last_inserted_at)) / 60000000.0 AS age FROM last_row
+        ) SELECT last_inserted_at, CAST(round(age, 2) AS DOUBLE) AS age_minutes,
+            CASE WHEN age IS NULL OR age > 60 THEN 'error' WHEN age > 15 THEN 'warn'
+                ELSE 'pass' END AS status FROM aged"""
+    trend = f"""{web} SELECT date_trunc('hour', event_ts) AS window_start,
+            date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end, count(*) AS landed
+            FROM web GROUP BY 1, 2"""
     staged_columns = ["event_id", *_EVENT_COLUMNS.split(", ")]
     return {
         "flatten_events": f"{web} SELECT {_EVENT_COLUMNS} FROM web",
@@ -175,6 +200,7 @@ def oracle_queries() -> dict[str, str]:
         "conversions": f"{month} SELECT * FROM conversions",
         "conversion_paths": f"{month} SELECT * FROM paths",
         "conversion_paths_1d": f"{day} SELECT * FROM paths",
+        "conversion_paths_cut": f"{month} SELECT * FROM paths",
         "first_click": f"{month} SELECT * FROM first_click",
         "first_click_1d": f"{day} SELECT * FROM first_click",
         "last_click": f"{month} SELECT * FROM last_click",
@@ -196,9 +222,8 @@ def oracle_queries() -> dict[str, str]:
             FROM marts, last_day
             WHERE CAST(conversion_ts AS DATE) BETWEEN d - 14 AND d
             GROUP BY 1, 2 ORDER BY 1, 2""",
-        "live_events": f"""{web} SELECT event_ts, event_name, user_pseudo_id, source, medium,
-            purchase_revenue FROM web
-            ORDER BY event_ts DESC NULLS LAST, {_LANDING_ID} NULLS FIRST LIMIT 25""",
+        "live_events": live,
+        "live_events_landed": live,
         "streamed_user_credit": f"""{named} SELECT attribution_model, user_pseudo_id, channel,
             revenue, conversion_ts FROM marts WHERE user_pseudo_id LIKE 'stream_user%'
             ORDER BY user_pseudo_id, attribution_model""",
@@ -230,35 +255,48 @@ def oracle_queries() -> dict[str, str]:
         + _test_rows([("staged_events", "staged", [], ["event_id", "user_pseudo_id"])]),
         "duplicate_params": f"""{web} SELECT 'nested_events' AS table_name,
             'event_params' AS column_name, 'duplicate_keys' AS test_name,
-            CAST(0 AS BIGINT) AS failures
+            count(*) AS failures FROM ({_PARAM_KEYS}) t WHERE len(list_distinct(keys)) < len(keys)
         UNION ALL SELECT 'doubled_params', 'event_params', 'duplicate_keys', count(*) FROM web
             WHERE ga_session_id IS NOT NULL OR campaign IS NOT NULL""",
         "landing_event_id": f"""{web}, {_ARRIVED} SELECT event_id, event_ts, event_date,
             event_name, user_pseudo_id FROM arrived""",
-        "freshness": f"""{web}, last_row AS (
-            SELECT max(date_trunc('second', event_ts)) AS last_inserted_at FROM web
-        ), aged AS (
-            SELECT last_inserted_at, (epoch_us(TIMESTAMP '2024-01-31 00:30:00')
-                - epoch_us(last_inserted_at)) / 60000000.0 AS age FROM last_row
-        ) SELECT last_inserted_at, CAST(round(age, 2) AS DOUBLE) AS age_minutes,
-            CASE WHEN age IS NULL OR age > 60 THEN 'error' WHEN age > 15 THEN 'warn'
-                ELSE 'pass' END AS status FROM aged""",
-        "row_count_trend": f"""{web} SELECT date_trunc('hour', event_ts) AS window_start,
-            date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end, count(*) AS landed
-            FROM web GROUP BY 1, 2""",
+        "freshness": fresh,
+        "freshness_landed": fresh,
+        "row_count_trend": trend,
+        "row_count_trend_landed": trend,
+        "landing_compacted": f"""{web} SELECT {_LANDING_ID} AS event_id, {_EVENT_COLUMNS},
+            date_trunc('second', event_ts) AS inserted_at FROM web""",
         "ingest_stream": f"""{web}, {_ARRIVED}
             SELECT * FROM arrived UNION ALL SELECT * FROM arrived""",
         "ingest_staged": f"""{web}, {_ARRIVED}, twice AS (
             SELECT *, 1 AS origin FROM arrived UNION ALL SELECT *, 1 AS origin FROM arrived
         ), {_deduped("twice")} SELECT * FROM staged""",
+        "ingest_load_times": f"""{web} SELECT count(*) AS landed, CAST(1 AS BIGINT) AS load_times,
+            count(*) AS loaded_in_run, count(*) AS stored_by_day
+            FROM web, (VALUES (1), (2)) feeds(feed) GROUP BY feed""",
+        "ingest_rejects": f"""{web}, sent AS (
+            SELECT event_id % 10 AS k, ts, event_type AS event_name,
+                'u' || user_id AS user_pseudo_id, ts AS event_ts,
+                '{{"event_name":"' || event_type || '","user_pseudo_id":"u' || user_id
+                    || '","event_ts":"' || CASE WHEN event_id % 10 = 7 THEN 'no time'
+                    ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END || '"}}' AS line
+            FROM events
+        ) SELECT CASE WHEN k IN (3, 7) THEN 'rejected' ELSE 'landed' END AS fate,
+            CASE WHEN k NOT IN (3, 7) THEN {_LANDING_ID} END AS event_id,
+            CASE k WHEN 3 THEN line[:40] WHEN 7 THEN line END AS line FROM sent""",
         "stream_first_deliveries": f"{web}, {_ARRIVED} SELECT * FROM arrived",
         "stream_late_rows": f"{web}, {_ARRIVED} SELECT * FROM arrived",
+        "restaged_days": f"{staged} SELECT * FROM staged",
         "rebuild": f"{month} SELECT * FROM marts",
+        "stream_rebuild": f"{_journey(30, landed='in_seconds')} SELECT * FROM marts",
         "rebuild_tests": f"""{month} {_test_rows(_REBUILD_TESTS)}
         UNION ALL SELECT 'marts', 'revenue', 'reconciles', count(*) FROM ({_TOTALS}) t
             WHERE first_click <> conversions OR last_click <> conversions
         UNION ALL SELECT 'marts', 'revenue', 'strict', count(*) FROM (
             SELECT c.conversion_id FROM conversions c LEFT JOIN marts m
             ON m.conversion_id = c.conversion_id AND m.revenue IS NOT DISTINCT FROM c.revenue
-            GROUP BY c.conversion_id HAVING count(m.conversion_id) <> 2) t""",
+            GROUP BY c.conversion_id HAVING count(m.conversion_id) <> 2) t
+        UNION ALL SELECT 'nested_events', 'event_params', 'duplicate_keys', count(*)
+            FROM ({_PARAM_KEYS}) t WHERE event_ts < TIMESTAMP '2024-01-24'
+            AND len(list_distinct(keys)) < len(keys)""",
     }

@@ -1,7 +1,9 @@
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from build import at, conversions, flat, naive, rows_of, staged, touches
+from pyspark.sql import functions as F
 
 from touchtrail.operators import journey
 from touchtrail.operators.staging import stage_events
@@ -134,3 +136,64 @@ def test_paths_need_equal_known_users(spark):
         ),
     )
     assert found.count() == 0
+
+
+def _hot_user(spark, draw, rows=900):
+    """Touches and conversions of which one user has a third."""
+    who = lambda n: "hot" if n % 3 == 0 else f"u{draw.randrange(200)}"
+    marks = [
+        {"touchpoint_id": f"t{n}", "user_pseudo_id": who(n), "touchpoint_ts": at(minutes=draw.randrange(50_000))}
+        for n in range(rows)
+    ]
+    convs = [
+        {"conversion_id": f"c{n}", "user_pseudo_id": who(n), "conversion_ts": at(minutes=draw.randrange(50_000))}
+        for n in range(rows)
+    ]
+    return convs, marks
+
+
+def test_tiles_of_a_hot_user_give_all_paths_once(spark):
+    convs, marks = _hot_user(spark, random.Random(7))
+    tables = conversions(spark, convs), touches(spark, marks)
+    reach = timedelta(days=3)
+    plain = sorted(
+        (c["conversion_id"], t["touchpoint_id"])
+        for c in convs
+        for t in marks
+        if c["user_pseudo_id"] == t["user_pseudo_id"]
+        and c["conversion_ts"] - reach <= t["touchpoint_ts"] <= c["conversion_ts"]
+    )
+    for most in (1, 7, 2_000):
+        paths = journey.conversion_paths(*tables, 3, most_in_cell=most)
+        assert rows_of(paths, "conversion_id", "touchpoint_id") == plain
+
+
+def test_no_task_of_the_path_join_makes_far_more_rows_than_another(spark):
+    convs, marks = _hot_user(spark, random.Random(8), rows=3_000)
+    tables = conversions(spark, convs), touches(spark, marks)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8",
+                "spark.sql.autoBroadcastJoinThreshold": "10000"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+
+        def shares(most):
+            paths = journey.conversion_paths(*tables, 30, most_in_cell=most)
+            per_task = paths.groupBy(F.spark_partition_id()).count().collect()
+            return sorted(r["count"] for r in per_task)
+
+        cut, whole = shares(25), shares(10**9)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(cut) == sum(whole)
+    assert len(cut) == 8 and cut[-1] <= 3 * cut[4]
+    assert whole[-1] > 3 * whole[len(whole) // 2], "a hot user weighs on one task if nothing is cut"
+
+
+def test_only_cells_with_pairs_are_cut(spark):
+    marks = [{"touchpoint_id": f"t{n}", "touchpoint_ts": at(seconds=n)} for n in range(30)]
+    convs = [{"conversion_id": f"c{n}", "user_pseudo_id": "other", "conversion_ts": at(days=1)} for n in range(30)]
+    text = journey.conversion_paths(conversions(spark, convs), touches(spark, marks), most_in_cell=5)
+    assert text.count() == 0

@@ -6,7 +6,7 @@ from build import at, landing, nested, param, rows_of
 from touchtrail import Params
 from touchtrail.__main__ import main
 from touchtrail.operators import journey, quality
-from touchtrail.plans import pipeline
+from touchtrail.plans import pipeline, publish
 from touchtrail.session import scratch_dir
 from touchtrail.sources import given_events as given
 from touchtrail.sources.batch import read_nested_events
@@ -40,6 +40,19 @@ def test_day_shards(spark, tmp_path):
         read_nested_events(spark, str(tmp_path), date(2020, 12, 1))
 
 
+def test_a_range_without_shards_has_no_events(spark, tmp_path):
+    _write_shards(spark, str(tmp_path), ["20201130"])
+    empty = read_nested_events(spark, str(tmp_path), date(2021, 1, 1), date(2021, 1, 31))
+    assert empty.count() == 0 and empty.columns == read_nested_events(spark, str(tmp_path)).columns
+
+
+def test_both_parts_of_the_given_events_overlap(spark):
+    web = given.web_events(given.read_events(spark, SF))
+    batch, landed = given.batch_part(web), given.landed_part(web)
+    assert batch.count() and landed.count()
+    assert batch.join(landed, ["user_pseudo_id", "event_name", "event_ts"]).count() > 0
+
+
 def test_rebuild_twice_equals_the_lazy_plan_and_passes_its_tests(spark, tmp_path):
     web = given.web_events(given.read_events(spark, SF))
     landed = given.landed_part(web)
@@ -49,9 +62,10 @@ def test_rebuild_twice_equals_the_lazy_plan_and_passes_its_tests(spark, tmp_path
         built = pipeline.rebuild(spark, given.as_nested(batch), landed, str(tmp_path / "out"))
     for name in ("staged", "touchpoints", "conversions", "marts"):
         assert rows_of(getattr(built, name)) == rows_of(getattr(lazy, name).select(*getattr(built, name).columns))
-    results = pipeline.run_tests(built).collect()
-    assert len(results) == 19
-    assert {r.failures for r in results} == {0}
+    for tables in (built, pipeline.read_build(spark, publish.current(spark, str(tmp_path / "out")))):
+        results = pipeline.run_tests(tables, nested=given.as_nested(batch)).collect()
+        assert len(results) == 20
+        assert {r.failures for r in results} == {0}
     assert quality.strict_reconciles(built.conversions, built.marts).count() == 0
 
 
@@ -126,9 +140,7 @@ def test_jobs_from_the_command_line(spark, tmp_path):
         assert main(["ingest", "--landing", landing_dir, *arguments]) == 0
     assert main(["rebuild", "--events", f"{tmp_path}/export", "--landing", landing_dir, "--out", out]) == 0
     assert read_landing(spark, landing_dir).count() == 2 * sent.count()
-    tables = pipeline.Tables(
-        *(spark.read.parquet(f"{out}/{t}") for t in ("staged", "touchpoints", "conversions", "marts"))
-    )
+    tables = pipeline.current_tables(spark, out)
     pipeline.register_views(tables)
     totals = "SELECT count(*) AS n, round(sum(revenue), 2) AS revenue FROM "
     both = {spark.sql(totals + view).first() for view in ("first_click", "last_click", "conversions")}

@@ -6,14 +6,15 @@ from build import at, landing, rows_of
 
 from touchtrail.functions.columns import landing_key_id
 from touchtrail.operators import staging
-from touchtrail.schemas import FLAT_EVENTS, LANDING_EVENTS
+from touchtrail.plans import pipeline, publish
+from touchtrail.schemas import FLAT_EVENTS, LANDING_EVENTS, MARTS, NESTED_EVENTS
 from touchtrail.sources.landing import (
     append_delivery,
     create_landing,
     read_landing,
     streamed_events,
 )
-from touchtrail.streaming import ingest
+from touchtrail.streaming import ingest, refresh
 
 
 def _drop(folder, name, rows):
@@ -110,6 +111,172 @@ def test_pre_filter_drops_copies(spark, inbox):
     assert read_landing(spark, str(inbox / "landing")).count() == 6
 
 
+# Malformed lines
+
+
+def _text(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines))
+
+
+def _lines():
+    sound = [json.dumps(_sent("stream_user_0", at(seconds=i))) for i in range(4)]
+    bad = [
+        "{broken",
+        json.dumps({**_sent("u", at()), "event_ts": "no time"}),
+        json.dumps({**_sent("u", at()), "ga_session_id": "seven"}),
+        json.dumps({**_sent("u", at()), "purchase_revenue": {"a": 1}}),
+        "[1, 2",
+        "plain text",
+    ]
+    return sound, bad
+
+
+def _land_lines(spark, tmp_path, rejects, checkpoint="cp"):
+    stream = ingest.read_stream(spark, str(tmp_path / "inbox"))
+    ingest.ingest_available(
+        stream, str(tmp_path / "landing"), str(tmp_path / checkpoint), rejects and str(tmp_path / rejects)
+    )
+    return read_landing(spark, str(tmp_path / "landing"))
+
+
+def test_malformed_lines_go_to_the_rejects_with_their_text(spark, tmp_path):
+    create_landing(spark, str(tmp_path / "landing"))
+    sound, bad = _lines()
+    odd = ['{"event_name": "page_view", "unknown": 1}', "{}", ""]
+    _text(tmp_path / "inbox", "a.json", [*sound[:2], *bad, *sound[2:], *odd])
+    landed = _land_lines(spark, tmp_path, "rejects")
+    # Sound lines land whole, unknown keys are left out, missing ones are null.
+    assert landed.count() == len(sound) + 2
+    assert landed.where("event_ts IS NOT NULL AND event_id IS NOT NULL").count() == len(sound)
+    rejects = ingest.read_rejects(spark, str(tmp_path / "rejects"))
+    assert sorted(r.line for r in rejects.collect()) == sorted(bad)
+    assert {r.sent_file.rsplit("/", 1)[1] for r in rejects.collect()} == {"a.json"}
+    assert rejects.where("rejected_at IS NULL OR feed IS NULL OR delivery <> 0").count() == 0
+    # A batch of sound lines writes no rejects, and a fresh checkpoint rejects again.
+    _text(tmp_path / "inbox", "b.json", sound)
+    assert _land_lines(spark, tmp_path, "rejects").count() == 2 * len(sound) + 2
+    assert ingest.read_rejects(spark, str(tmp_path / "rejects")).count() == len(bad)
+    _land_lines(spark, tmp_path, "rejects", "cp-2")
+    assert ingest.read_rejects(spark, str(tmp_path / "rejects")).count() == 2 * len(bad)
+
+
+def test_without_a_place_for_rejects_nothing_of_the_batch_lands(spark, tmp_path):
+    create_landing(spark, str(tmp_path / "landing"))
+    sound, bad = _lines()
+    _text(tmp_path / "inbox", "a.json", [*sound, bad[1]])
+    with pytest.raises(Exception, match="malformed line in .*a.json.*no time"):
+        _land_lines(spark, tmp_path, None)
+    assert read_landing(spark, str(tmp_path / "landing")).count() == 0
+    # The same batch, with a place for them.
+    assert _land_lines(spark, tmp_path, "rejects").count() == len(sound)
+    assert ingest.read_rejects(spark, str(tmp_path / "rejects")).count() == 1
+
+
+def test_rejects_of_a_batch_that_ended_between_its_two_writes(spark, tmp_path):
+    create_landing(spark, str(tmp_path / "landing"))
+    sound, bad = _lines()
+    _text(tmp_path / "inbox", "a.json", [*sound, *bad])
+    _land_lines(spark, tmp_path, "rejects")
+    import shutil
+
+    # As it would be: landed, neither rejected nor committed.
+    shutil.rmtree(tmp_path / "rejects")
+    for name in ("0", ".0.crc"):
+        (tmp_path / "cp" / "commits" / name).unlink()
+    assert _land_lines(spark, tmp_path, "rejects").count() == len(sound)
+    assert ingest.read_rejects(spark, str(tmp_path / "rejects")).count() == len(bad)
+
+
+def test_no_rejects_yet(spark, tmp_path):
+    assert ingest.read_rejects(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_copies_are_dropped_and_malformed_lines_are_kept_by_the_pre_filter(spark, tmp_path):
+    create_landing(spark, str(tmp_path / "landing"))
+    sound, bad = _lines()
+    _text(tmp_path / "inbox", "a.json", [*sound, *sound, *bad])
+    stream = ingest.first_deliveries(ingest.read_stream(spark, str(tmp_path / "inbox")))
+    ingest.ingest_available(
+        stream, str(tmp_path / "landing"), str(tmp_path / "cp"), str(tmp_path / "rejects")
+    )
+    assert read_landing(spark, str(tmp_path / "landing")).count() == len(sound)
+    assert ingest.read_rejects(spark, str(tmp_path / "rejects")).count() == len(bad)
+    # The keys seen are kept by the state store on disk, and checkpoints hold its changes.
+    state = {p.name for p in (tmp_path / "cp" / "state").rglob("*")}
+    assert "1.changelog" in state and not any(name.endswith(".delta") for name in state)
+
+
+# Landing and publishing in one job
+
+
+def _publishing(spark, tmp_path, per_batch=1):
+    stream = ingest.read_stream(spark, str(tmp_path / "inbox"), max_files_per_trigger=per_batch)
+    refresh.start_refresh(
+        stream,
+        lambda session: session.createDataFrame([], NESTED_EVENTS),
+        str(tmp_path / "landing"),
+        str(tmp_path / "out"),
+        str(tmp_path / "cp"),
+        rejects=str(tmp_path / "rejects"),
+    ).awaitTermination()
+
+
+def _purchase(user, ts, session=1):
+    return _sent(user, ts, event_name="purchase", purchase_revenue=5.0, ga_session_id=session)
+
+
+def test_marts_follow_the_micro_batches_and_replays_publish_once(spark, tmp_path):
+    create_landing(spark, str(tmp_path / "landing"))
+    out = str(tmp_path / "out")
+    for n in range(3):
+        rows = [_sent(f"u{n}", at(days=n)), _purchase(f"u{n}", at(days=n, hours=1)), _sent("u0", at(days=n, hours=2))]
+        _drop(tmp_path / "inbox", f"{n}.json", rows)
+    _publishing(spark, tmp_path)
+    assert len(publish.commits(spark, out)) == 3
+    batch = pipeline.build(
+        spark.createDataFrame([], FLAT_EVENTS), read_landing(spark, str(tmp_path / "landing"))
+    )
+    assert rows_of(pipeline.current_tables(spark, out).marts) == rows_of(
+        batch.marts.select(*MARTS.fieldNames())
+    )
+    # The last batch ended after its build was published, before Spark took note of it.
+    for name in ("2", ".2.crc"):
+        (tmp_path / "cp" / "commits" / name).unlink()
+    before = publish.commits(spark, out)
+    _publishing(spark, tmp_path)
+    assert publish.commits(spark, out) == before
+    assert read_landing(spark, str(tmp_path / "landing")).count() == 9
+    # A late purchase, a line that is malformed, and a batch of nothing else.
+    _text(tmp_path / "inbox", "3.json", [json.dumps(_purchase("u1", at(minutes=1), 7)), "{broken"])
+    _text(tmp_path / "inbox", "4.json", ["{broken"])
+    _publishing(spark, tmp_path)
+    assert len(publish.commits(spark, out)) == 3, "the last three builds stay"
+    marts = pipeline.current_tables(spark, out).marts
+    assert marts.where("user_pseudo_id = 'u1' AND attribution_model = 'last_click'").count() == 2
+    assert ingest.read_rejects(spark, str(tmp_path / "rejects")).count() == 2
+
+
+def test_a_batch_that_failed_while_it_built_is_taken_up_again(spark, tmp_path, monkeypatch):
+    create_landing(spark, str(tmp_path / "landing"))
+    out = str(tmp_path / "out")
+    _drop(tmp_path / "inbox", "0.json", [_sent("u", at()), _purchase("u", at(hours=1))])
+    _publishing(spark, tmp_path)
+    _drop(tmp_path / "inbox", "1.json", [_purchase("u", at(days=1))])
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(publish, "commit", fail)
+        with pytest.raises(Exception, match="lost"):
+            _publishing(spark, tmp_path)
+    assert pipeline.current_tables(spark, out).conversions.count() == 1
+    _publishing(spark, tmp_path)
+    assert pipeline.current_tables(spark, out).conversions.count() == 2
+    assert read_landing(spark, str(tmp_path / "landing")).count() == 3
+
+
 def test_ingest_reads_a_table_that_is_a_folder_of_part_files(spark, tmp_path):
     from touchtrail.plans import catalog
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,6 +79,18 @@ def utc_day(ts: str | Column) -> Column:
     return F.date_from_unix_date((start / MICROS_PER_DAY).cast("int"))
 
 
+def day_spans(days: Sequence[date | None]) -> list[tuple[int, int]]:
+    """The days as spans of microseconds, neighbouring days joined; ends exclusive."""
+    spans: list[tuple[int, int]] = []
+    for day in sorted({d for d in days if d is not None}):
+        start = (day - date(1970, 1, 1)).days * MICROS_PER_DAY
+        if spans and spans[-1][1] == start:
+            spans[-1] = (spans[-1][0], start + MICROS_PER_DAY)
+        else:
+            spans.append((start, start + MICROS_PER_DAY))
+    return spans
+
+
 def money(amount: Column) -> Column:
     """Total rounded to cents, half away from zero."""
     return F.round(F.sum(amount), 2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail.functions.columns import money
@@ -34,7 +34,7 @@ def column_tests(
     table: DataFrame, name: str, not_nulls: Sequence[str], uniques: Sequence[str]
 ) -> DataFrame:
     """Failures per declared column test. All not-null tests share one pass over the table."""
-    results = []
+    results: list[DataFrame] = []
     if not_nulls:
         counts = table.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in not_nulls))
         rows = F.array(*(_verdict(name, c, "not_null", F.col(c)) for c in not_nulls))
@@ -49,6 +49,44 @@ def violation_count(violations: DataFrame, table: str, column: str, test: str) -
     return failures.select(_verdict(table, column, test, F.col("failures")).alias("v")).select("v.*")
 
 
+def known_count(
+    spark: SparkSession, table: str, column: str, test: str, failures: int
+) -> DataFrame:
+    """The result row of a test whose failures have been counted already."""
+    row = spark.range(1).select(F.lit(failures).cast("bigint").alias("n"))
+    return row.select(_verdict(table, column, test, F.col("n")).alias("v")).select("v.*")
+
+
+def not_null_by(
+    table: DataFrame, group: str, values: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Failures of the not-null tests for each value of a column, in one pass over the table."""
+    cases = [(v, c) for v in values for c in columns]
+    counts = table.agg(
+        *(
+            F.count_if((F.col(group) == v) & F.col(c).isNull()).alias(f"n{n}")
+            for n, (v, c) in enumerate(cases)
+        )
+    )
+    rows = (_verdict(v, c, "not_null", F.col(f"n{n}")) for n, (v, c) in enumerate(cases))
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def unique_by(table: DataFrame, group: str, values: Sequence[str], column: str) -> DataFrame:
+    """Failures of the unique test for each value of a column, in one pass over the table."""
+    repeated = (
+        table.where(F.col(column).isNotNull())
+        .groupBy(group, column)
+        .agg(F.count("*").alias("occurrences"))
+        .where("occurrences > 1")
+    )
+    counts = repeated.agg(
+        *(F.count_if(F.col(group) == v).alias(f"n{n}") for n, v in enumerate(values))
+    )
+    rows = (_verdict(v, column, "unique", F.col(f"n{n}")) for n, v in enumerate(values))
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def _verdict(table: str, column: str, test: str, failures: Column) -> Column:
     return F.struct(
         F.lit(table).alias("table_name"),

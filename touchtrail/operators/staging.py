@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchtrail.functions.columns import event_key_id, param_int, param_string
+from touchtrail.functions.columns import event_key_id, param_int, param_string, utc_day
 from touchtrail.schemas import FLAT_COLUMNS
 
 EVENT_KEY = ("user_pseudo_id", "event_name", "event_ts")
@@ -55,5 +55,14 @@ def stage_events(batch: DataFrame, streamed: DataFrame) -> DataFrame:
     return survivors.select(event_key_id().alias("event_id"), *FLAT_COLUMNS)
 
 
+def with_day(staged: DataFrame) -> DataFrame:
+    """Staged events with the UTC day of their time, which is what they are stored by.
+
+    All copies of an event share its time, so whichever copy survives, it stays on the same day. The
+    event date that a source gives need not be that day.
+    """
+    return staged.withColumn("event_day", utc_day("event_ts"))
+
+
 def _from_origin(events: DataFrame, origin: int) -> DataFrame:
     return events.select(*FLAT_COLUMNS, F.lit(origin).alias("origin"))

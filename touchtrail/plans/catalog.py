@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchtrail.functions.columns import channel_group
+from touchtrail.functions.columns import channel_group, utc_day
 from touchtrail.operators import credit, journey, quality, reports, staging
 from touchtrail.params import FIRST_CLICK, Params
 from touchtrail.plans import pipeline
 from touchtrail.schemas import FLAT_EVENTS
 from touchtrail.session import configure, scratch_dir
 from touchtrail.sources import given_events as given
-from touchtrail.sources.batch import read_nested_events, write_shards
+from touchtrail.sources import landing as landings
+from touchtrail.sources.batch import read_nested_events
 from touchtrail.sources.landing import create_landing, read_landing, streamed_events
-from touchtrail.streaming import ingest
+from touchtrail.streaming import ingest, refresh
 
 PARAMS = Params()
 # Half an hour after the end of the given events' last day.
@@ -25,6 +26,12 @@ NOW = datetime(2024, 1, 31, 0, 30, tzinfo=timezone.utc)
 
 # Micro-batches that the events are landed in, days mixed.
 LATE_BATCHES = 4
+# Micro-batches of the job that publishes the marts after each one.
+REFRESH_BATCHES = 3
+# Deliveries of the written landing table: six days each, some of them late.
+DELIVERY_DAYS, DELIVERY_ORDER = 6, (1, 0, 3, 2, 4)
+# A cell this small is cut into tiles even in the given events.
+SMALL_CELL = 2
 # The closed range of days that the shards are read for.
 FIRST_DAY, LAST_DAY = date(2024, 1, 5), date(2024, 1, 14)
 
@@ -84,7 +91,7 @@ def nested_shards_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _export(spark: SparkSession, sf_dir: str) -> str:
     nested = given.as_nested(_web(spark, sf_dir))
     root = scratch_dir(spark, "export")
-    write_shards(nested, root)
+    given.write_shards(nested, root)
     return root
 
 
@@ -116,6 +123,14 @@ def conversion_paths_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return journey.conversion_paths(*_journey(spark, sf_dir), 1)
 
 
+def conversion_paths_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paths with cells of users and slices cut into tiles, as a heavy user's are."""
+    convs, touches = _journey(spark, sf_dir)
+    return journey.conversion_paths(
+        convs, touches, PARAMS.lookback_days, most_in_cell=SMALL_CELL
+    )
+
+
 def first_click(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credit.first_click(*_journey(spark, sf_dir), PARAMS.lookback_days)
 
@@ -157,6 +172,46 @@ def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.live_events(given.as_landed(_web(spark, sf_dir)), PARAMS.live_rows)
 
 
+def _landing_table(spark: SparkSession, sf_dir: str) -> str:
+    """All events written as a landing table of several deliveries, the older days not always first."""
+    path = f"{scratch_dir(spark, 'landing')}/events"
+    create_landing(spark, path)
+    landed = given.as_landed(_web(spark, sf_dir))
+    group = F.floor(F.datediff("event_date", F.lit("2024-01-01").cast("date")) / DELIVERY_DAYS)
+    last = len(DELIVERY_ORDER) - 1
+    for number, wanted in enumerate(DELIVERY_ORDER):
+        # Days outside the expected month belong to the outer groups.
+        part = landed.where(F.greatest(F.lit(0), F.least(group, F.lit(last))) == wanted)
+        landings.append_delivery(part, path, "given", number)
+    return path
+
+
+def live_events_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest events of a written landing table; files that cannot hold any stay closed."""
+    path = _landing_table(spark, sf_dir)
+    return reports.live_events(landings.read_latest(spark, path, PARAMS.live_rows), PARAMS.live_rows)
+
+
+def freshness_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness from the entries of the landing table, without its rows."""
+    loads = landings.last_loads(spark, _landing_table(spark, sf_dir))
+    return reports.freshness(loads, NOW, PARAMS.warn_minutes, PARAMS.error_minutes)
+
+
+def row_count_trend_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per hour of load time from the entries of the landing table, without its rows."""
+    return reports.row_count_trend(landings.load_minutes(spark, _landing_table(spark, sf_dir)))
+
+
+def landing_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing table after deliveries were packed, one replayed, and the packed ones removed."""
+    path = _landing_table(spark, sf_dir)
+    landings.compact(spark, path, least=2)
+    landings.append_delivery(given.as_landed(_web(spark, sf_dir)), path, "given", 1)
+    landings.clean(spark, path, timedelta(0))
+    return read_landing(spark, path)
+
+
 def streamed_user_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts = _marts(spark, sf_dir, name_streamed_users=True)
     return reports.streamed_user_credit(marts, PARAMS.stream_pattern)
@@ -262,29 +317,77 @@ def _event_files(spark: SparkSession, sf_dir: str, folder: str, files: int | Non
     return path
 
 
-def _ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table landed, and delivered once more under a fresh checkpoint."""
+def _ingest_twice(spark: SparkSession, sf_dir: str) -> str:
+    """The events table landed, and delivered once more under a fresh checkpoint; the landing table."""
     folder = scratch_dir(spark, "ingest")
     create_landing(spark, f"{folder}/landing")
     sent = _event_files(spark, sf_dir, folder)
     for delivery in ("first", "again"):
         stream = _event_stream(spark, sent)
         ingest.ingest_available(stream, f"{folder}/landing", f"{folder}/checkpoint-{delivery}")
-    return read_landing(spark, f"{folder}/landing")
+    return f"{folder}/landing"
 
 
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing table after both deliveries; the load time is left out."""
-    return _ingest_twice(spark, sf_dir).drop("inserted_at")
+    return read_landing(spark, _ingest_twice(spark, sf_dir)).drop("inserted_at")
 
 
 def ingest_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging over the landing table that took every event twice."""
-    landed = streamed_events(_ingest_twice(spark, sf_dir))
+    landed = streamed_events(read_landing(spark, _ingest_twice(spark, sf_dir)))
     no_batch = spark.createDataFrame([], FLAT_EVENTS)
     return staging.stage_events(no_batch, landed)
 
 
+def ingest_load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per feed: rows, moments of loading, and whether these lie in this run and name the folders."""
+    began = spark.range(1).select(F.current_timestamp()).first()[0]
+    stored = spark.read.schema(landings.STORED).parquet(_ingest_twice(spark, sf_dir))
+    in_run = F.col("inserted_at").between(F.lit(began), F.current_timestamp())
+    return (
+        stored.groupBy("feed")
+        .agg(
+            F.count("*").alias("landed"),
+            F.countDistinct("inserted_at").alias("load_times"),
+            F.count_if(F.coalesce(in_run, F.lit(False))).alias("loaded_in_run"),
+            F.count_if(utc_day("inserted_at") == F.col("load_date")).alias("stored_by_day"),
+        )
+        .drop("feed")
+    )
+
+
+def _sent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines; every tenth is cut off, and of another tenth the time is no time."""
+    k = F.col("event_id") % 10
+    at = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    sound = F.concat(
+        F.lit('{"event_name":"'), "event_type", F.lit('","user_pseudo_id":"u'),
+        F.col("user_id").cast("string"), F.lit('","event_ts":"'),
+        F.when(k == 7, F.lit("no time")).otherwise(at), F.lit('"}'),
+    )
+    line = F.when(k == 3, F.substring(sound, 1, 40)).otherwise(sound)
+    return given.read_events(configure(spark), sf_dir).select(line.alias("value"))
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines sent with every fifth of them malformed: what landed, and the text of what did not."""
+    folder = scratch_dir(spark, "rejects")
+    create_landing(spark, f"{folder}/landing")
+    _sent_lines(spark, sf_dir).write.text(f"{folder}/sent")
+    stream = ingest.read_stream(spark, f"{folder}/sent", path_glob="*.txt")
+    ingest.ingest_available(
+        stream, f"{folder}/landing", f"{folder}/checkpoint", f"{folder}/rejects"
+    )
+    landed = read_landing(spark, f"{folder}/landing").select(
+        F.lit("landed").alias("fate"), "event_id", F.lit(None).cast("string").alias("line")
+    )
+    rejected = ingest.read_rejects(spark, f"{folder}/rejects").select(
+        F.lit("rejected").alias("fate"), F.lit(None).cast("string").alias("event_id"), "line"
+    )
+    return landed.unionByName(rejected)
+
+
 def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The streaming pre-filter in front of the landing table, every event being sent twice."""
     folder = scratch_dir(spark, "first-deliveries")
@@ -312,21 +415,55 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, f"{folder}/landing").drop("inserted_at")
 
 
-def rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full refresh from nested and landed events; the published marts."""
+def restaged_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging by day: all days of the export first, then the days that landed rows are on."""
+    web = _web(spark, sf_dir)
+    nested, landed = given.as_nested(given.batch_part(web)), given.landed_part(web)
+    path = pipeline.staged_path(scratch_dir(spark, "staging"))
+    pipeline.restage(spark, nested, landed.where("false"), path)
+    pipeline.restage(spark, nested, landed, path, landings.touched_days(landed))
+    return pipeline.read_staged(spark, path)
+
+
+def _rebuilt(spark: SparkSession, sf_dir: str, tested: bool = False) -> str:
     web = _web(spark, sf_dir)
     out = scratch_dir(spark, "rebuild")
     nested = given.as_nested(given.batch_part(web))
-    return pipeline.rebuild(spark, nested, given.landed_part(web), out, PARAMS).marts
+    pipeline.rebuild(spark, nested, given.landed_part(web), out, PARAMS, tested=tested)
+    return out
+
+
+def rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full refresh from nested and landed events; the marts as readers of the build find them."""
+    return pipeline.current_tables(spark, _rebuilt(spark, sf_dir)).marts
 
 
 def rebuild_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full refresh followed by all declared tests."""
+    """The full refresh with all declared tests, as they are stored with the build."""
+    return pipeline.test_results(spark, _rebuilt(spark, sf_dir, tested=True))
+
+
+def stream_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed events sent in micro-batches, marts published after each; those of the last one."""
+    folder = scratch_dir(spark, "stream-rebuild")
+    create_landing(spark, f"{folder}/landing")
     web = _web(spark, sf_dir)
-    out = scratch_dir(spark, "rebuild")
-    nested = given.as_nested(given.batch_part(web))
-    tables = pipeline.rebuild(spark, nested, given.landed_part(web), out, PARAMS)
-    return pipeline.run_tests(tables, PARAMS)
+    given.as_nested(given.batch_part(web)).write.parquet(f"{folder}/export/events_all")
+    sent = given.landed_part(web).select(*ingest.SENT_EVENTS.fieldNames())
+    sent.repartition(REFRESH_BATCHES, "event_ts").write.parquet(f"{folder}/sent")
+    # Rows arrive with whole seconds, so the export's copies have them as well.
+    stream = ingest.read_stream(
+        spark, f"{folder}/sent", ingest.SENT_EVENTS, "parquet", 1, path_glob="*.parquet"
+    )
+    refresh.start_refresh(
+        stream,
+        lambda s: read_nested_events(s, f"{folder}/export"),
+        f"{folder}/landing",
+        f"{folder}/out",
+        f"{folder}/checkpoint",
+        PARAMS,
+    ).awaitTermination()
+    return pipeline.current_tables(spark, f"{folder}/out").marts
 
 
 QUERIES: dict[str, Query] = {
@@ -341,6 +478,7 @@ QUERIES: dict[str, Query] = {
         conversions,
         conversion_paths,
         conversion_paths_1d,
+        conversion_paths_cut,
         first_click,
         first_click_1d,
         last_click,
@@ -351,6 +489,7 @@ QUERIES: dict[str, Query] = {
         channel_comparison,
         daily_conversions,
         live_events,
+        live_events_landed,
         streamed_user_credit,
         dedupe_proof,
         path_lengths,
@@ -363,11 +502,18 @@ QUERIES: dict[str, Query] = {
         landing_event_id,
         freshness,
         row_count_trend,
+        freshness_landed,
+        row_count_trend_landed,
+        landing_compacted,
         ingest_stream,
         ingest_staged,
+        ingest_load_times,
+        ingest_rejects,
         stream_first_deliveries,
         stream_late_rows,
+        restaged_days,
         rebuild,
         rebuild_tests,
+        stream_rebuild,
     )
 }

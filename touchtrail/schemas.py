@@ -59,6 +59,11 @@ LANDING_COLUMNS = LANDING_EVENTS.fieldNames()
 
 STAGED_EVENTS = T.StructType([T.StructField("event_id", T.StringType())] + FLAT_EVENTS.fields)
 
+# As stored: partitioned by the UTC day of the event time.
+STORED_STAGED_EVENTS = T.StructType(
+    STAGED_EVENTS.fields + [T.StructField("event_day", T.DateType())]
+)
+
 TOUCH_FIELDS = [
     T.StructField("touchpoint_id", T.StringType()),
     T.StructField("touchpoint_ts", T.TimestampType()),

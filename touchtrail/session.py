@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from touchtrail.sources import files
+
 
 def get_session(
     app_name: str = "touchtrail",
@@ -29,20 +31,35 @@ def get_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on: a day is a UTC day and 30 days are 720 hours."""
+    """Pin the settings results depend on: a day is a UTC day and 30 days are 720 hours.
+
+    Times are written as numbers with statistics, so that readers can skip what is out of range.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 
+# The scratch folder of this driver below each base that it used.
+_roots: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for written intermediate tables, under the shared folder of the cluster.
 
     ``spark.checkpoint.dir`` names that folder. Only a local master may fall back to a
-    folder of this machine, since there every task runs on it.
+    folder of this machine, since there every task runs on it. All of them are removed when the
+    driver ends; until then, results may be read as often as wanted.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="touchtrail-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = _roots.get("") or tempfile.mkdtemp(prefix="touchtrail-")
+        _roots[""] = base
+    if base not in _roots:
+        _roots[base] = f"{base.rstrip('/')}/touchtrail-{uuid.uuid4().hex}"
+    if not files.exists(spark, _roots[base]):
+        files.make_folder(spark, _roots[base])
+        files.remove_at_exit(spark, _roots[base])
+    return f"{_roots[base]}/{label}-{uuid.uuid4().hex}"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchtrail import schemas
+from touchtrail.functions.columns import day_spans
+from touchtrail.sources import files
 
 
 def read_nested_events(
@@ -18,7 +21,8 @@ def read_nested_events(
 ) -> DataFrame:
     """All day shards ``events_YYYYMMDD`` below ``root``, or those of a closed range of days.
 
-    Days outside the range are never listed or opened. Days without a shard are skipped.
+    Days outside the range are never listed or opened. Days without a shard are skipped; a range
+    without any gives no events.
     """
     if (first_day is None) != (last_day is None):
         raise ValueError("give both ends of the day range or none")
@@ -29,20 +33,18 @@ def read_nested_events(
             raise ValueError("the day range is empty")
         days = (first_day + timedelta(days=n) for n in range(span))
         shards = "events_{" + ",".join(f"{day:%Y%m%d}" for day in days) + "}"
+    if first_day is not None and not files.any_match(spark, f"{root.rstrip('/')}/{shards}"):
+        return spark.createDataFrame([], schemas.NESTED_EVENTS)
     return spark.read.schema(schemas.NESTED_EVENTS).parquet(f"{root.rstrip('/')}/{shards}")
 
 
-def write_shards(nested: DataFrame, root: str) -> None:
-    """Nested events as one folder ``events_YYYYMMDD`` per day below ``root``, in one pass.
+def of_days(nested: DataFrame, event_days: Sequence[date | None]) -> DataFrame:
+    """Events whose time is on one of these UTC days (None: no time).
 
-    The partition folders get their names after the write; the day stays a column of the files.
+    The condition is on the stored number, so the reader skips what its statistics rule out. Shards
+    are named by the exporter's own day, which need not be the UTC day, so they are not chosen by name.
     """
-    spark = nested.sparkSession
-    nested.withColumn("day", F.col("event_date")).write.partitionBy("day").parquet(root)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in files.globStatus(path(f"{root}/day=*")):
-        source = folder.getPath()
-        day = source.getName().removeprefix("day=")
-        if not files.rename(source, path(source.getParent(), f"events_{day}")):
-            raise OSError(f"no shard for {day} below {root}")
+    at, wanted = F.col("event_timestamp"), F.lit(False)
+    for start, end in day_spans(event_days):
+        wanted |= (at >= start) & (at < end)
+    return nested.where(wanted | at.isNull() if None in event_days else wanted)

@@ -127,3 +127,20 @@ def _param(key: str, string_value: Column, int_value: Column) -> Column:
     )
     known = string_value.isNotNull() | int_value.isNotNull()
     return F.when(known, F.struct(F.lit(key).alias("key"), value.alias("value")))
+
+
+def write_shards(nested: DataFrame, root: str) -> None:
+    """Nested events as an exporter would leave them: one folder ``events_YYYYMMDD`` per day.
+
+    For the registered queries only. The partition folders get their names after the write; the day
+    stays a column of the files.
+    """
+    spark = nested.sparkSession
+    nested.withColumn("day", F.col("event_date")).write.partitionBy("day").parquet(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.globStatus(path(f"{root}/day=*")):
+        source = folder.getPath()
+        day = source.getName().removeprefix("day=")
+        if not files.rename(source, path(source.getParent(), f"events_{day}")):
+            raise OSError(f"no shard for {day} below {root}")
