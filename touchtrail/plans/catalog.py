@@ -115,17 +115,27 @@ def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _journey(spark, sf_dir)[0]
 
 
+def _written_journey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Conversions and touchpoints as stored tables, for steps that read them more than once."""
+    path = scratch_dir(spark, "journey")
+    out = []
+    for name, table in zip(("conversions", "touchpoints"), _journey(spark, sf_dir), strict=True):
+        table.write.parquet(f"{path}/{name}")
+        out.append(spark.read.schema(table.schema).parquet(f"{path}/{name}"))
+    return out[0], out[1]
+
+
 def conversion_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return journey.conversion_paths(*_journey(spark, sf_dir), PARAMS.lookback_days)
+    return journey.conversion_paths(*_written_journey(spark, sf_dir), PARAMS.lookback_days)
 
 
 def conversion_paths_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return journey.conversion_paths(*_journey(spark, sf_dir), 1)
+    return journey.conversion_paths(*_written_journey(spark, sf_dir), 1)
 
 
 def conversion_paths_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The paths with cells of users and slices cut into tiles, as a heavy user's are."""
-    convs, touches = _journey(spark, sf_dir)
+    convs, touches = _written_journey(spark, sf_dir)
     return journey.conversion_paths(
         convs, touches, PARAMS.lookback_days, most_in_cell=SMALL_CELL
     )
