@@ -422,3 +422,157 @@ def test_pipeline_equals_the_plain_stages(spark, docs, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id: r.decoded_sha256 for r in out} == expected and len(out) == len(expected)
     assert 0 < len(expected) < len(kept) < len(given)
+
+
+def held_items(spark, texts, items):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(table, bench).collect())
+
+
+def test_clean_sentences_of_like_shape_are_no_leaks(spark, docs):
+    items = ["What is the capital of France", "Who wrote the book about Anna and when"]
+    clean = [
+        "Paris is the capital of France and it is large",
+        "we know that Berlin is the capital of Germany today",
+        "Rome is the capital of Italy. Madrid is the capital of Spain.",
+        "What is the capital",
+        "Nobody wrote the book about Carla and then left",
+    ]
+    assert held_items(spark, clean, items) == []
+    assert held_items(spark, ["So: what is the capital of France?"], items) == [(0, 0)]
+
+
+def test_names_of_any_script_are_slots(spark, docs):
+    items = [
+        "Øystein bought 12 apples for Žofie and then Øystein gave 3 of them back to Žofie at home",
+        "Вчера Иван купил 12 яблок для Ольга и потом Иван отдал 3 из них назад Ольга дома",
+    ]
+    texts = [
+        "Łukasz bought 21 apples for Šimon and then Łukasz gave 5 of them back to Šimon at home",
+        "вчера Пётр купил 40 яблок для Мария и потом Пётр отдал 7 из них назад Мария дома",
+        items[0].upper(),
+        items[1].upper(),
+    ]
+    assert held_items(spark, texts, items) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+
+
+def test_items_of_one_shape_are_one_class(spark, docs):
+    shape = "a farmer sold {} apples at the market to {} and later {} more to the same customer for cash"
+    items = [shape.format(n, name, n + 7) for n in range(10, 40) for name in ("him", "her")]
+    items += [shape.format(5, "him", 5), "another item that has nothing to do with any of the others"]
+    texts = ["so " + shape.format(800 + n, "him", 2 * n) for n in range(50)]
+    texts += [items[7], items[58] + " and " + items[4], shape.format(77, "him", 77)]
+    found = held_items(spark, texts, items)
+    # One row for a variant, the items themselves where they stand word by word.
+    variants = [(n, 0) for n in range(50)]
+    assert [pair for pair in found if pair[0] < 50 and pair[1] == 0] == variants
+    assert {(50, 7), (51, 4), (51, 58)} <= set(found)
+    # Equal numbers in both places are a variant of the item that has them equal, and of others.
+    assert (52, 60) in found
+    assert len(found) <= 2 * 50 + 8
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    classes = {r.item_id: r for r in decontaminate.item_classes(bench).collect()}
+    assert {classes[n].class_id for n in range(0, 60, 2)} == {0}
+    assert {classes[n].class_id for n in range(1, 60, 2)} == {1}
+    assert classes[60].class_id == 60 and classes[0].class_items == 30
+
+
+def plain_tokens(text):
+    """Words with whether they open a sentence and whether they are capitalised, by the rules."""
+    out, opens = [], True
+    for match in re.finditer(r"[^\W_]+|[.!?:;\n\"()]", text or ""):
+        word = match.group()
+        if word.isalnum():
+            out.append((word.lower(), opens, word[0].isupper()))
+            opens = False
+        else:
+            opens = True
+    return out
+
+
+def plain_windows(text):
+    """Windows of five as (plain, template, slot values) by the definition."""
+    words = plain_tokens(text)
+    within = {w for w, opens, capital in words if capital and not opens}
+    kinds = []
+    for word, opens, capital in words:
+        number = re.fullmatch("[0-9]+", word)
+        unit = word in decontaminate.UNITS
+        name = capital and (not opens or word in within) and not number
+        kinds.append("#" if number else "%" if unit else "@" if name else "")
+    out = []
+    for n in range(len(words) - 4):
+        five, kind = [w for w, _, _ in words[n : n + 5]], kinds[n : n + 5]
+        usable = any(kind) and sum(not k for k in kind) >= 2
+        shape = tuple(k or w for k, w in zip(kind, five)) if usable else None
+        out.append((tuple(five), shape, tuple(w for k, w in zip(kind, five) if k)))
+    evidence = sum(k in ("", "#") for k in kinds)
+    return out, evidence
+
+
+def plain_whole_document_leak(text, item):
+    """The reading by single words over a whole document, without occurrences."""
+    ours, _ = plain_windows(text)
+    theirs, evidence = plain_windows(item)
+    if not theirs:
+        return False
+    plain, shapes = {p for p, _, _ in ours}, {}
+    for _, shape, values in ours:
+        if shape and evidence >= decontaminate.LEAST_EVIDENCE:
+            shapes.setdefault(shape, []).append(values)
+    literal = sum(p in plain for p, _, _ in theirs)
+    matched = sum(p in plain or (s in shapes) for p, s, _ in theirs)
+    if matched < 0.75 * len(theirs):
+        return False
+    if literal >= 0.75 * len(theirs):
+        return True
+    turned = {}
+    for _, shape, values in theirs:
+        for other in shapes.get(shape, ()) if shape else ():
+            for old, new in zip(values, other):
+                turned.setdefault(old, []).append(new)
+    tops = sum(max(map(news.count, set(news))) for news in turned.values())
+    return tops >= 0.75 * sum(map(len, turned.values()))
+
+
+def test_leaks_equal_the_plain_definition_on_random_items(spark, docs):
+    draw = random.Random(77)
+    words = "the of and to sold red blue market paid apples trains went over under many then while".split()
+    names, units = ["Anna", "Ben", "Çağla", "Иван", "Łukasz"], ["miles", "dollars", "kg"]
+
+    def sentence(n):
+        out = []
+        for _ in range(n):
+            kind = draw.random()
+            out.append(
+                str(draw.randrange(99)) if kind < 0.15 else draw.choice(names) if kind < 0.3
+                else draw.choice(units) if kind < 0.35 else draw.choice(words)
+            )
+        return " ".join(out)
+
+    def varied(text, share):
+        return " ".join(
+            str(draw.randrange(99)) if w.isdigit() and draw.random() < share
+            else draw.choice(names) if w in names and draw.random() < share
+            else draw.choice(words) if draw.random() < share / 8 else w
+            for w in text.split()
+        )
+
+    items = [sentence(draw.randrange(5, 30)) for _ in range(25)]
+    texts = [sentence(40) for _ in range(20)] + [None, ""]
+    for item in items:
+        for share in (0.0, 0.3, 1.0):
+            texts.append(f"{sentence(6)}. {varied(item, share)} {sentence(5)}")
+    found = set(held_items(spark, texts, items))
+    expected = {
+        (d, n) for d, text in enumerate(texts) for n, item in enumerate(items)
+        if plain_whole_document_leak(text, item)
+    }
+    # Occurrences and compound slots find more, never less, and nothing that shares few windows.
+    assert expected <= found and len(expected) >= 40
+    for d, n in found - expected:
+        ours, theirs = plain_windows(texts[d])[0], plain_windows(items[n])[0]
+        shapes = {s for _, s, _ in ours if s} | {p for p, _, _ in ours}
+        assert sum(p in shapes or s in shapes for p, s, _ in theirs) >= 0.4 * len(theirs)
+    assert not {d for d, _ in found} & {20, 21}
