@@ -92,6 +92,31 @@ def test_minhash_equals_all_pairs(docs, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def test_blocks_of_a_family_are_spread_over_tasks(spark, docs):
+    blocks = [(low, high) for low in range(12) for high in range(low, 12)]
+    rows = [(1, low, high, n) for low, high in blocks for n in range(20)]
+    of_family = spark.createDataFrame(rows, "family long, low int, high int, node long")
+    dealt = of_family.repartition(8, "family")
+
+    def where(table):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        return table.slice(0, 1).select(["family"]).append_column("part", [[part]]).append_column(
+            "rows", [[table.num_rows]]
+        )
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        seen = minhash._block_pairs(dealt).applyInArrow(where, "family long, part int, rows int").collect()
+        plain = dealt.groupBy("family", "low", "high").applyInArrow(where, "family long, part int, rows int")
+        assert len({r.part for r in plain.collect()}) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(seen) == len(blocks) and {r.rows for r in seen} == {20}
+    assert len({r.part for r in seen}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_short_lived_tables_go_and_lasting_ones_stay(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "scratch_dir", lambda _, label: f"{tmp_path}/{label}")
     rows = spark.range(3)

@@ -310,16 +310,23 @@ def _root_maps(texts: DataFrame, classes: DataFrame, buckets: DataFrame) -> list
         .withColumn("high", F.greatest("block", "other"))
         .drop("blocks", "other")
     )
-    joins = written(
-        dealt.groupBy("family", "low", "high").applyInArrow(_join_blocks, "a long, b long"),
-        "joins",
-    )
+    joins = written(_block_pairs(dealt).applyInArrow(_join_blocks, "a long, b long"), "joins")
     ends = _with_root(joins.select(F.col("a").alias("node"), "b"), maps)
     ends = ends.select(F.col("root").alias("a"), F.col("b").alias("node"))
     ends = _with_root(ends, maps).select("a", F.col("root").alias("b"))
     return [*maps, components(ends)]
 
 
+def _block_pairs(dealt: DataFrame):
+    """Each pair of blocks in a task of its own.
+
+    The rows come from joins by family, which Spark would take for good enough, and all blocks of a
+    family would meet in one task; so they are dealt anew.
+    """
+    pair = ("family", "low", "high")
+    return dealt.repartition(*pair).groupBy(*pair)
+
+
 def _join_blocks(table: pa.Table) -> pa.Table:
     """Links between two blocks of a family, or within one, that join what was apart."""
     node, block = table.column("node").to_numpy(), table.column("block").to_numpy()
