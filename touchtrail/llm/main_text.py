@@ -1,13 +1,17 @@
 """Main text of web pages, without what the site repeats on its pages.
 
-A page is read as a stream of tags and texts. Menus, headers and footers of the site, sidebars,
+A page is read as a stream of tags and texts, in one pass forward by the rules of HTML: a quote within
+an unquoted value is a character like others, and a tag that never ends takes the rest of the page
+with it. The work is in proportion to the length of the page, whatever its markup. Menus, headers and footers of the site, sidebars,
 notices, adverts, forms, scripts, styles and reader comments go by their element, role or class.
 A class or id counts as a whole name; of hyphenated names, those made of listed words and of
 HELPERS only (ad-slot, but not no-sidebar or article-header). No element goes by its class if it
 holds an article or main element, or half of the text that would be left; in an article, names of
-DOUBTFUL_CLASSES are left to the counts per host.
-Besides, every closed element with text is hashed with all that is in it, and hashes are counted per
-host. Groups (div, section, lists) that stand on three pages of a host go, however many pages it
+DOUBTFUL_CLASSES decide together with what the element is: a division or section is a notice by that
+name, and it holds reader comments if it comes after text of the article and consists of nothing
+but like elements. The others are left to the counts per host.
+Besides, every closed element with text is hashed with all that is in it, its children by their
+hashes, and hashes are counted per host. Groups (div, section, lists) that stand on three pages of a host go, however many pages it
 has. Paragraphs and other elements are what articles may repeat as well, such as a licence line; they
 go if they stand on at least half of the host's pages, and on at least 20.
 
@@ -23,7 +27,8 @@ joined to the elements of each page, and a page gets those that it has.
 
 Defined cases: a null or empty html, or one without text, gives an empty text; unclosed elements
 end with the one around them; a url without a host counts as a host of its own; repeated rows give
-repeated results and count as one page; an empty table gives no rows; other columns are ignored.
+repeated results and count as one page; pages of any length are read whole; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -68,19 +74,22 @@ DROPPED_CLASSES = frozenset(
     """ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar
     menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar cookie cookies
     consent gdpr notice notices banner popup modal overlay newsletter subscribe signup share
-    sharing social related comment comments discussion replies disqus widget toolbar
+    sharing social related comment comments discussion replies responses disqus widget toolbar
     pagination""".split()
 )
 # Words that tell nothing beside one of the above, and names that articles use for their own parts.
 HELPERS = frozenset(
     """site page top bottom left right inner outer box bar area list links link item items button
     buttons block section container wrapper wrap slot unit form icons icon main primary
-    secondary""".split()
+    secondary user users reader readers visitor visitors""".split()
 )
 DOUBTFUL_CLASSES = frozenset(
-    """notice notices header footer banner masthead related discussion replies toolbar widget
+    """notice notices header footer banner masthead related discussion replies responses toolbar widget
     overlay modal promotion social consent""".split()
 )
+NOTICE_CLASSES = frozenset("notice notices banner".split())
+REPLY_CLASSES = frozenset("discussion replies responses".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 CLOSES = {
     "p": BLOCKS - {"br"},
     "li": frozenset({"li"}),
@@ -92,44 +101,101 @@ CLOSES = {
     "option": frozenset({"option"}),
 }
 
-_MARK = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
-    re.S,
-)
-_ATTRIBUTE = re.compile(
-    r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
-    re.I,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_KEY = re.compile(r"[^\s/>][^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_UNQUOTED = re.compile(r"[^\s>]+")
+_COMMENT_END = re.compile(r"--!?>")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
+_TELLING = frozenset("class id role hidden aria-hidden".split())
 _PART = re.compile(r"[-_]+")
 
 
-def _listed(name: str, in_article: bool) -> bool:
+def _attributes(html: str, at: int) -> tuple[int, dict[str, str], bool] | None:
+    """Place after a tag, its telling attributes and whether it closes itself; None if it never ends.
+
+    ``at`` is the place after its name.
+    """
+    found: dict[str, str] = {}
+    size = len(html)
+    while True:
+        start, at = at, _GAP.match(html, at).end()
+        if at == size:
+            return None
+        if html[at] == ">":
+            return at + 1, found, at > start and html[at - 1] == "/"
+        key = _KEY.match(html, at)
+        at, value = key.end(), ""
+        equals = _EQUALS.match(html, at)
+        if equals:
+            at = equals.end()
+            if at == size:
+                return None
+            if html[at] in "\"'":
+                end = html.find(html[at], at + 1)
+                if end < 0:
+                    return None
+                value, at = html[at + 1 : end], end + 1
+            elif html[at] != ">":
+                bare = _UNQUOTED.match(html, at)
+                value, at = bare.group(), bare.end()
+        name = key.group().lower()
+        if name in _TELLING:
+            found.setdefault(name, unescape(value).lower())
+
+
+def _known(name: str) -> tuple[list[str], bool]:
+    """Listed words of a class name, and whether all its other words are helpers."""
     parts = [part for part in _PART.split(name) if part]
     known = [part for part in parts if part in DROPPED_CLASSES]
-    if in_article and all(part in DOUBTFUL_CLASSES for part in known):
-        return False
-    return bool(known) and all(part in DROPPED_CLASSES or part in HELPERS for part in parts)
+    return known, bool(known) and all(p in DROPPED_CLASSES or p in HELPERS for p in parts)
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> str:
-    """Whether an element goes by its name or role ("surely"), by its class ("class"), or not."""
+def _unwanted(name: str, attributes: dict[str, str], in_article: bool) -> str:
+    """Whether an element goes by its name or role ("surely"), by its class ("class"), if it holds
+    nothing but like elements ("replies"), or not.
+    """
     if name in DROPPED or (name == "header" and not in_article):
         return "surely"
-    if "=" not in attributes and "hidden" not in attributes:
+    if not attributes:
         return ""
-    by_class = ""
-    for key, *values in _ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        key = key.lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return "surely"
-        if key == "role" and value.strip() in DROPPED_ROLES:
-            return "surely"
-        if key in ("class", "id") and name not in ("html", "body", "article", "main"):
-            if any(_listed(one, in_article) for one in value.split()):
-                by_class = "class"
-    return by_class
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true":
+        return "surely"
+    if attributes.get("role", "").strip() in DROPPED_ROLES:
+        return "surely"
+    if name in ("html", "body", "article", "main"):
+        return ""
+    doubt = ""
+    for one in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        known, listed = _known(one)
+        if not listed:
+            continue
+        if not in_article or not DOUBTFUL_CLASSES.issuperset(known):
+            return "class"
+        if name in GROUPS and not NOTICE_CLASSES.isdisjoint(known):
+            return "class"
+        if name in GROUPS and not REPLY_CLASSES.isdisjoint(known):
+            doubt = "replies"
+    return doubt
+
+
+class _Open:
+    """An open element: what it is, what came before it, and a running hash of what is in it."""
+
+    __slots__ = ("name", "shape", "start", "before", "left_out", "said", "hash", "children", "others")
+
+    def __init__(self, name: str, shape: str, start: int, before: int, left_out: str, said: int):
+        self.name, self.shape, self.start, self.before = name, shape, start, before
+        self.left_out, self.said, self.hash = left_out, said, xxhash.xxh3_64()
+        # Shapes of its child elements but headings, and whether it holds anything else.
+        self.children: dict[str, int] = {}
+        self.others = False
+
+    def holds_like_elements(self) -> bool:
+        """Whether it consists of several groups of one shape, with headings at most beside them."""
+        counts = list(self.children.values())
+        return not self.others and len(counts) == 1 and counts[0] > 1
 
 
 def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, dict[int, tuple[bool, bool]]]:
@@ -146,73 +212,133 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, d
     cuts: list[tuple[int, int]] = []
     by_class: list[tuple[int, int, int]] = []
     hashes: dict[int, tuple[bool, bool]] = {}
-    # Open elements: name, place in html, texts before, why they are left out, words before.
-    stack: list[tuple[str, int, int, str, int]] = []
+    # Open elements, and how many of each name.
+    stack: list[_Open] = []
+    named: dict[str, int] = {}
     outside: set[int] = set()
-    dropped = articles = said = 0
+    dropped = articles = said = hashed = 0
+    article_said = False
     at, size = 0, len(html)
 
+    def read_up_to(place: int) -> None:
+        """Put what was read since the last time into the hash of the innermost element."""
+        nonlocal hashed
+        if stack and place > hashed:
+            stack[-1].hash.update(html[hashed:place].encode("utf-8", "replace"))
+        hashed = max(hashed, place)
+
     def pop(end: int | None) -> None:
         nonlocal dropped, articles
-        name, start, before, left_out, said_before = stack.pop()
-        if end is not None and said > said_before and name in BLOCKS:
-            number = xxhash.xxh3_64_intdigest(html[start:end].encode("utf-8", "replace"))
+        read_up_to(at if end is None else end)
+        here = stack.pop()
+        name = here.name
+        named[name] -= 1
+        number = here.hash.intdigest()
+        if stack:
+            stack[-1].hash.update(number.to_bytes(8, "little"))
+        if end is not None and said > here.said and name in BLOCKS:
             group = name in GROUPS
             hashes[number] = (group, group and (articles > 0 or hashes.get(number, (0, False))[1]))
             if group and not articles:
                 outside.add(number)
             if number in template:
-                cuts.append((before, len(out)))
-        dropped -= left_out == "surely"
+                cuts.append((here.before, len(out)))
+        dropped -= here.left_out == "surely"
         articles -= name in ("article", "main")
-        if left_out == "class":
-            by_class.append((before, len(out), articles))
+        if here.left_out == "class" or (here.left_out == "replies" and here.holds_like_elements()):
+            by_class.append((here.before, len(out), articles))
         if name in BLOCKS:
             add(" ")
 
     def add(text: str) -> None:
-        nonlocal said
+        nonlocal said, article_said
         if not dropped and text:
-            said += not text.isspace()
+            if not text.isspace():
+                said += 1
+                article_said = article_said or articles > 0
+                if stack:
+                    stack[-1].others = True
             out.append(text)
             inside.append(articles > 0)
 
+    def opened(name: str, start: int, attributes: dict[str, str]) -> None:
+        nonlocal dropped, articles
+        shape = f"{name} {attributes.get('class', '')}"
+        if stack and name not in HEADINGS:
+            parent = stack[-1]
+            if name in GROUPS or name in ("li", "article"):
+                parent.children[shape] = parent.children.get(shape, 0) + 1
+            else:
+                parent.others = True
+        left_out = _unwanted(name, attributes, articles > 0)
+        if left_out == "replies" and not article_said:
+            left_out = ""
+        read_up_to(start)
+        stack.append(_Open(name, shape, start, len(out), left_out, said))
+        named[name] = named.get(name, 0) + 1
+        dropped += left_out == "surely"
+        articles += name in ("article", "main")
+
     while at < size:
-        mark = _MARK.search(html, at)
-        if mark is None:
-            add(unescape(html[at:]))
+        # Text up to the next markup; a lone < is text.
+        start = at
+        at = html.find("<", at)
+        while 0 <= at < size - 1 and not (html[at + 1] in "/!?" or html[at + 1].isalpha() and html[at + 1].isascii()):
+            at = html.find("<", at + 1)
+        if at < 0 or at == size - 1:
+            add(unescape(html[start:]))
+            at = size
             break
-        if mark.start() > at:
-            add(unescape(html[at : mark.start()]))
-        at = mark.end()
-        name = mark[2]
-        if name is None:
+        if at > start:
+            add(unescape(html[start:at]))
+        mark = at
+        if html[at + 1] in "!?":
+            if html.startswith("<!--", at):
+                if html.startswith((">", "->"), at + 4):
+                    at = html.index(">", at) + 1
+                else:
+                    end = _COMMENT_END.search(html, at + 4)
+                    at = end.end() if end else size
+            else:
+                at = html.find(">", at) + 1 or size
             continue
-        name = name.lower()
-        if mark[1]:
+        closing = html[at + 1] == "/"
+        word = _NAME.match(html, at + 1 + closing)
+        if word is None:
+            # Not a letter after the slash: a comment of another kind.
+            at = html.find(">", at) + 1 or size
+            continue
+        tag = _attributes(html, word.end())
+        if tag is None:
+            at = size
+            break
+        name = word.group().lower()
+        at, attributes, closes_itself = tag
+        if closing:
             if name == "br" or name == "p":
                 add(" ")
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    while len(stack) > depth + 1:
-                        pop(None)
-                    pop(at)
-                    break
+            if named.get(name):
+                at, after = mark, at
+                while stack[-1].name != name:
+                    pop(None)
+                at = after
+                pop(at)
             continue
-        while stack and name in CLOSES.get(stack[-1][0], ()):
+        at, after = mark, at
+        while stack and name in CLOSES.get(stack[-1].name, ()):
             pop(None)
+        at = after
         if name in BLOCKS:
             add(" ")
-        if name in VOID or mark[3].endswith("/") and name not in BLOCKS and name not in RAW:
+        if name in VOID or closes_itself and name not in BLOCKS and name not in RAW:
             continue
-        left_out = _unwanted(name, mark[3], articles > 0)
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-            at = end.end() if end else size
+            if stack and name not in ("script", "style", "noscript", "template"):
+                stack[-1].others = True
+            end = _RAW_END[name].search(html, at)
+            at = html.find(">", end.end()) + 1 or size if end else size
             continue
-        stack.append((name, mark.start(), len(out), left_out, said))
-        dropped += left_out == "surely"
-        articles += name in ("article", "main")
+        opened(name, mark, attributes)
     while stack:
         pop(None)
     if by_class:
@@ -226,12 +352,21 @@ def read_page(html: str, template: frozenset[int] = frozenset()) -> tuple[str, d
         hashes |= dict.fromkeys(outside, (True, True))
     if not cuts:
         return whole, hashes
-    for start, end in cuts:
+    for start, end in _outermost(cuts):
         out[start:end] = [""] * (end - start)
     text = _spaced([text for text, held in zip(out, inside) if held])
     return whole if len(text) <= least * len(whole) else text, hashes
 
 
+def _outermost(runs: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs that no other one contains; they are nested or apart."""
+    reached = 0
+    for start, end in sorted(runs, key=lambda run: (run[0], -run[1])):
+        if end > reached:
+            yield start, end
+            reached = end
+
+
 def _drop_by_class(out: list[str], inside: list[bool], runs: list[tuple[int, int, int]]) -> None:
     """Empties the texts of elements unwanted by their class, but not those of a page's wrapper.
 
@@ -240,13 +375,13 @@ def _drop_by_class(out: list[str], inside: list[bool], runs: list[tuple[int, int
     """
     sizes = [len(text.strip()) for text in out]
     in_article = [size if held else 0 for size, held in zip(sizes, inside)]
-    counted = in_article if any(in_article) else sizes
-    total = sum(counted)
+    up_to = [0, *accumulate(in_article if any(in_article) else sizes)]
+    gone = 0
+    # Elements are nested or apart and come outermost first, so nothing in one has gone before it.
     for start, end, around in sorted(runs, key=lambda run: (run[0], -run[1])):
-        held = sum(counted[start:end])
-        if held < total * (1 if around else LEAST_SHARE):
+        if end > gone and up_to[end] - up_to[start] < up_to[-1] * (1 if around else LEAST_SHARE):
             out[start:end] = [""] * (end - start)
-            counted[start:end] = [0] * (end - start)
+            gone = end
 
 
 def _spaced(texts: list[str]) -> str:
