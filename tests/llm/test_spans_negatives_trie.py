@@ -16,7 +16,9 @@ from touchtrail.llm.queries import LLM_ORACLE, LLM_QUERIES
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", ["op12_hard_negatives", "op13_prefix_trie"])
+@pytest.mark.parametrize(
+    "name", ["op1_near_vectors", "op6_minhash", "op12_hard_negatives", "op13_prefix_trie"]
+)
 def test_query_equals_its_sql(spark, name):
     con = duck(SF)
     assert compare(LLM_QUERIES[name](spark, SF), con, LLM_ORACLE[name]) is None

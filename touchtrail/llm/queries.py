@@ -131,7 +131,54 @@ LLM_QUERIES: dict[str, Query] = {
     )
 }
 
+# Groups that links (a, b) in both directions make, as (node, component_id).
+_COMPONENTS = """reached as (
+            select {key} as node, {key} as root from {nodes}
+            union
+            select l.b, r.root from reached r join links l on l.a = r.node
+        ), components as (
+            select node, min(root) as component_id from reached group by node
+        )"""
+
 LLM_ORACLE: dict[str, str] = {
+    "op1_near_vectors": f"""
+        with recursive vectors as (
+            select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v
+            from embeddings where embedding is not null and len(embedding) > 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                and len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links as (
+            select a.vec_id as a, b.vec_id as b from vectors a join vectors b
+            on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+                and list_inner_product(a.v, b.v) >= 0.95
+                    * sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))
+        ), {_COMPONENTS.format(key="vec_id", nodes="embeddings")}
+        select vec_id, (select count(*) from links where a = vec_id) as n_links, component_id,
+            vec_id = component_id as kept
+        from embeddings join components on node = vec_id
+    """,
+    "op6_minhash": f"""
+        with recursive words as (
+            select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents
+        ), sets as (
+            select doc_id, case
+                when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3),
+                    lambda i: array_to_string(w[i:i + 4], ' ')))
+                when len(w) > 0 then [array_to_string(w, ' ')] else [] end as shingles from words
+        ), each as (
+            select doc_id, len(shingles) as n, unnest(shingles) as shingle from sets
+        ), links as (
+            select x.doc_id as a, y.doc_id as b from each x join each y
+            on x.shingle = y.shingle and x.doc_id <> y.doc_id
+            group by x.doc_id, y.doc_id, x.n, y.n
+            having 100 * count(*) >= 75 * (x.n + y.n - count(*))
+        ), {_COMPONENTS.format(key="doc_id", nodes="documents")}
+        select doc_id, cast(len(shingles) as bigint) as n_shingles, component_id,
+            doc_id = component_id as kept
+        from sets join components on node = doc_id
+    """,
     "op5_chat": """
         with every as (
             select conv_id, turn, role, text from conversations

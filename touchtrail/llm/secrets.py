@@ -315,12 +315,15 @@ def examples(docs: DataFrame, most: int = EXAMPLES) -> DataFrame:
         .withColumn("before", F.sum("n").over(up_to) - F.col("n"))
         .where(F.col("before") < most)
         .groupBy("kind")
-        .agg(F.max("step").alias("last_step"))
+        .agg(F.max("step").alias("step"))
     )
-    near = distinct.join(last_steps, "kind").where("step <= last_step")
+    near = F.lit(False)
+    for row in last_steps.collect():  # one a kind
+        near |= (F.col("kind") == row.kind) & (F.col("step") <= row.step)
     ranked = Window.partitionBy("kind").orderBy("hashed", "value")
     return (
-        near.withColumn("place", F.row_number().over(ranked))
+        distinct.where(near)
+        .withColumn("place", F.row_number().over(ranked))
         .where(F.col("place") <= most)
         .select("kind", "value", "place")
     )
