@@ -6,6 +6,13 @@
 3. passages: bytes covered by a passage of 100 bytes that occurs earlier are cut out.
 4. decontaminate: documents that hold a benchmark item go.
 5. tokens: ids of each remaining text, with digests that prove the way back to its bytes.
+
+Defined cases, stage by stage; those of the operators hold besides. A null, empty or blank text has no
+letter and goes in the first stage; a null doc_id takes part in no match and stays until the last
+stage; rows that repeat (same id and text) are kept or dropped together; columns beyond those of
+documents pass through all stages but the last, whatever their names; an empty table gives no rows.
+Every stage's output is a written table of the driver's scratch folder, removed when the driver ends;
+tables that only a stage needs go when it ends.
 """
 
 from __future__ import annotations
@@ -40,21 +47,25 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of smallest id; ids that repeat go along."""
     importable(spark)
     gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the bytes that repeat; a text may become empty and stays."""
     importable(spark)
     return passages.remove_passages(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
     return decontaminate.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids and digests of every remaining text; the columns are those of the encoder."""
     importable(spark)
     return bpe.encode_texts(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
