@@ -2,12 +2,13 @@ import json
 from datetime import timedelta
 
 import pytest
-from build import at, landing, rows_of
+from build import at, landing, nested, rows_of
 
 from touchtrail.functions.columns import landing_key_id
 from touchtrail.operators import staging
 from touchtrail.plans import pipeline, publish
 from touchtrail.schemas import FLAT_EVENTS, LANDING_EVENTS, MARTS, NESTED_EVENTS
+from touchtrail.sources.batch import read_nested_events
 from touchtrail.sources.landing import (
     append_delivery,
     create_landing,
@@ -63,6 +64,14 @@ def test_create_landing_is_idempotent(spark, inbox):
     ]
 
 
+def test_landing_ids_do_not_depend_on_the_session_zone(spark, in_zone):
+    rows = landing(spark, [{"event_ts": at(hours=23, minutes=59, seconds=58)}])
+    wanted = rows.select(landing_key_id()).first()[0]
+    for zone in ("America/Los_Angeles", "Asia/Kathmandu"):
+        in_zone(zone)
+        assert rows.select(landing_key_id()).first()[0] == wanted
+
+
 def test_arriving_rows_are_stamped(spark, inbox):
     raw = _run(spark, inbox, "cp")
     assert raw.where("inserted_at IS NULL OR event_id IS NULL").count() == 0
@@ -210,11 +219,13 @@ def test_copies_are_dropped_and_malformed_lines_are_kept_by_the_pre_filter(spark
 # Landing and publishing in one job
 
 
-def _publishing(spark, tmp_path, per_batch=1):
+def _publishing(spark, tmp_path, per_batch=1, export=None):
     stream = ingest.read_stream(spark, str(tmp_path / "inbox"), max_files_per_trigger=per_batch)
     refresh.start_refresh(
         stream,
-        lambda session: session.createDataFrame([], NESTED_EVENTS),
+        lambda session: (
+            read_nested_events(session, export) if export else session.createDataFrame([], NESTED_EVENTS)
+        ),
         str(tmp_path / "landing"),
         str(tmp_path / "out"),
         str(tmp_path / "cp"),
@@ -257,6 +268,49 @@ def test_marts_follow_the_micro_batches_and_replays_publish_once(spark, tmp_path
     assert ingest.read_rejects(spark, str(tmp_path / "rejects")).count() == 2
 
 
+def _shard(spark, root, day, *rows):
+    events = [
+        {"event_date": day, "event_timestamp": int(ts.timestamp() * 1e6), "event_name": name, "user_pseudo_id": user}
+        for user, name, ts in rows
+    ]
+    nested(spark, events).write.mode("overwrite").parquet(f"{root}/events_{day}")
+
+
+def test_shards_that_are_new_changed_or_gone_reach_the_marts(spark, tmp_path):
+    create_landing(spark, str(tmp_path / "landing"))
+    out, export = str(tmp_path / "out"), str(tmp_path / "export")
+    staged = pipeline.staged_path(out)
+
+    def marts_equal_a_rebuild():
+        whole = pipeline.rebuild(
+            spark, read_nested_events(spark, export), read_landing(spark, str(tmp_path / "landing")),
+            str(tmp_path / "whole"),
+        )
+        now = pipeline.current_tables(spark, out)
+        assert rows_of(now.staged) == rows_of(whole.staged)
+        assert rows_of(now.marts) == rows_of(whole.marts)
+
+    # The exporter's day is not the UTC day of the second event.
+    _shard(spark, export, "20210101", ("a", "purchase", at(hours=1)), ("a", "view", at(hours=25)))
+    _shard(spark, export, "20210104", ("b", "purchase", at(days=3)))
+    _drop(tmp_path / "inbox", "0.json", [_sent("u", at(days=5)), _purchase("u", at(days=5, hours=1))])
+    _publishing(spark, tmp_path, export=export)
+    marts_equal_a_rebuild()
+    assert pipeline.export_changes(spark, read_nested_events(spark, export), staged)[0] == []
+    # A new shard, one exported again with other events, and one that is gone; a batch of another day.
+    _shard(spark, export, "20210107", ("c", "purchase", at(days=6)))
+    _shard(spark, export, "20210101", ("a", "purchase", at(hours=2)))
+    import shutil
+
+    shutil.rmtree(f"{export}/events_20210104")
+    days, _ = pipeline.export_changes(spark, read_nested_events(spark, export), staged)
+    assert days == [at(days=n).date() for n in (0, 1, 3, 6)]
+    _drop(tmp_path / "inbox", "1.json", [_purchase("u", at(days=8))])
+    _publishing(spark, tmp_path, export=export)
+    marts_equal_a_rebuild()
+    assert len(publish.commits(spark, out)) == 2
+
+
 def test_a_batch_that_failed_while_it_built_is_taken_up_again(spark, tmp_path, monkeypatch):
     create_landing(spark, str(tmp_path / "landing"))
     out = str(tmp_path / "out")

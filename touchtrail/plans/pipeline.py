@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
@@ -11,12 +14,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from touchtrail.functions.columns import utc_day
 from touchtrail.operators import credit, journey, quality, staging
 from touchtrail.params import MODELS, Params
 from touchtrail.plans import publish
 from touchtrail.schemas import (
     CONVERSIONS,
     MARTS,
+    NESTED_EVENTS,
     STAGED_EVENTS,
     STORED_STAGED_EVENTS,
     TOUCHPOINTS,
@@ -40,6 +45,9 @@ _STORED = {
     "marts": (MARTS, "attribution_model"),
 }
 
+# What is noted of the export's shards beside the staged events.
+_EXPORT = "_export.json"
+
 
 class FailedTests(RuntimeError):
     """A build was not published, because declared tests failed on it."""
@@ -124,8 +132,8 @@ def refresh(
 ) -> Tables:
     """As ``rebuild``, with staging kept at ``<out>/staged`` and only its ``days`` written anew.
 
-    ``days`` are the UTC days that events have arrived for since the last refresh (see
-    ``landing.touched_days``), None for all. The first refresh writes all days anyway. Staging is
+    ``days`` are the UTC days that events have arrived for since the last refresh, landed (see
+    ``landing.touched_days``) or exported (see ``export_changes``), None for all. The first refresh writes all days anyway. Staging is
     as fresh as the sources, while the marts change with each published build.
     """
     build_id = build_id or publish.new_build()
@@ -166,10 +174,22 @@ def restage(
         flat = staging.flatten_events(of_days(nested, days))
         streamed = streamed_events(landing).where(in_days(F.col("event_ts"), days))
     staged = staging.with_day(staging.stage_events(flat, streamed))
-    writer = _by_day(staged.select(*STORED_STAGED_EVENTS.fieldNames())).write.mode("overwrite")
+    seen = Observation()
+    rows = _by_day(staged.select(*STORED_STAGED_EVENTS.fieldNames())).observe(
+        seen,
+        F.collect_set("event_day").alias("days"),
+        F.count_if(F.col("event_day").isNull()).alias("without"),
+    )
+    writer = rows.write.mode("overwrite")
     if days is not None:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("event_day").parquet(path)
+    for day in days or ():
+        # A day whose last event has gone from the sources is not overwritten by any row.
+        if day is None and not seen.get["without"]:
+            files.remove(spark, f"{path}/event_day=__HIVE_DEFAULT_PARTITION__")
+        elif day is not None and day not in seen.get["days"]:
+            files.remove(spark, f"{path}/event_day={day.isoformat()}")
     files.write_over(spark, done, "\n")
 
 
@@ -178,6 +198,58 @@ def is_staged(spark: SparkSession, path: str) -> bool:
     return files.exists(spark, f"{path}/_complete")
 
 
+def export_changes(
+    spark: SparkSession, nested: DataFrame, path: str
+) -> tuple[list[date | None], dict[str, dict]]:
+    """Days of the shards that are new, changed or gone since staging, and what to note of all shards.
+
+    A shard is a folder of the export. It is known by the names of its files, which no writer uses
+    twice, and what was noted of it holds the days of its events, so those of a shard that
+    was exported again are found although its old files are gone. Only new files are read.
+    """
+    text = files.read_text(spark, f"{path}/{_EXPORT}") if is_staged(spark, path) else None
+    noted = json.loads(text) if text else {}
+    now: dict[str, list[str]] = {}
+    for file in nested.inputFiles():
+        # A local path is file:///x in the list of files and file:/x in a row's own data.
+        folder, _, name = re.sub("^file:/+", "file:/", file).rpartition("/")
+        now.setdefault(folder, []).append(name)
+    digests = {
+        folder: hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest()
+        for folder, names in now.items()
+    }
+    fresh = [f for f, digest in digests.items() if noted.get(f, {}).get("files") != digest]
+    days: dict[str, list[str | None]] = {}
+    if fresh:
+        rows = spark.read.schema(NESTED_EVENTS).parquet(*sorted(fresh))
+        path_of = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+        folder = F.regexp_replace(path_of, "/[^/]*$", "")
+        day = utc_day(F.timestamp_micros("event_timestamp"))
+        # At most one row per shard and day that its events are on.
+        for row in rows.select(folder.alias("folder"), day.alias("day")).distinct().collect():
+            if row.folder not in digests:
+                raise RuntimeError(f"rows of a shard that was not listed: {row.folder}")
+            days.setdefault(row.folder, []).append(row.day and row.day.isoformat())
+    facts = {
+        folder: {"files": digest, "days": days.get(folder, [])}
+        if folder in fresh
+        else noted[folder]
+        for folder, digest in digests.items()
+    }
+    changed = [facts[f] for f in fresh] + [
+        noted[f] for f in noted if f in fresh or f not in digests
+    ]
+    found = {day for fact in changed for day in fact["days"]}
+    return sorted(
+        (day and date.fromisoformat(day) for day in found), key=lambda d: (d is not None, d)
+    ), facts
+
+
+def note_export(spark: SparkSession, path: str, facts: dict[str, dict]) -> None:
+    """Note which shards are staged; to be called once they are."""
+    files.write_over(spark, f"{path}/{_EXPORT}", json.dumps(facts, sort_keys=True))
+
+
 def read_staged(
     spark: SparkSession, path: str, first_day: date | None = None, last_day: date | None = None
 ) -> DataFrame:
