@@ -210,6 +210,70 @@ def test_rules_and_walks(spark, docs):
     assert url_filter.judge_urls(pages.where("false"), URL_RULES).count() == 0
 
 
+def plain_verdicts(pages, links):
+    """Verdicts of hosts without a rule, by both walks as dense matrices run to their ends."""
+    hosts = sorted({h for h, _ in pages} | {h for pair in links for h in pair})
+    place = {h: n for n, h in enumerate(hosts)}
+    size, count = len(hosts), np.zeros(len(hosts))
+    seeds = {"allow": np.zeros(size), "block": np.zeros(size)}
+    for host, verdict in pages:
+        count[place[host]] += 1
+        if verdict:
+            seeds[verdict][place[host]] += 1
+    weight = np.zeros((size, size))
+    for (src, dst), n in links.items():
+        weight[place[src], place[dst]] = n
+    mass = {}
+    for kind, steps in (("allow", weight), ("block", weight.T)):
+        out = steps.sum(axis=1)
+        start = seeds[kind] / max(seeds[kind].sum(), 1)
+        now = start.copy()
+        for _ in range(600):
+            walked = (np.divide(now, out, where=out > 0, out=np.zeros(size)) @ steps) if size else now
+            now = 0.85 * walked + start * (0.15 + 0.85 * now[out == 0].sum())
+        mass[kind] = now * seeds[kind].sum()
+    out = {}
+    for host in {h for h, _ in pages}:
+        n = place[host]
+        distrust = max(seeds["block"][n] / count[n], mass["block"][n] / count[n])
+        out[host] = "block" if distrust >= 0.5 and distrust > mass["allow"][n] / count[n] else "allow"
+    return out
+
+
+def test_verdicts_equal_dense_walks_on_random_graphs(spark, docs):
+    blocked = 0
+    for seed in (1,):
+        draw = random.Random(seed)
+        hosts = [f"h{n}.{draw.choice(['org', 'com', 'net', 'net'])}" for n in range(40)]
+        rows, pages, links = [], [], {}
+        for n in range(150):
+            host = draw.choice(hosts)
+            path = draw.choice(["/es/x", "/de/x", "/fr/y", "/"])
+            to = {h for h in draw.sample(hosts, draw.randrange(4))}
+            html = " ".join(f'<a href="https://{h}/p">x</a>' for h in [*to, *to])
+            rows.append((n, f"http://{host}{path}", html, "x", 1))
+            verdict = None
+            if host.endswith(".com"):
+                verdict = "allow"
+            elif host.endswith(".net") and path[:4] in ("/es/", "/fr/"):
+                verdict = "block"
+            pages.append((host, verdict))
+            for other in to - {host}:
+                links[host, other] = links.get((host, other), 0) + 1
+        table = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, html string, host string, trust int")
+        pages.append(pages[0])
+        for other in {h for h in re.findall("https://([^/]+)/p", rows[0][2])} - {pages[0][0]}:
+            links[pages[0][0], other] += 1
+        expected = plain_verdicts(pages, links)
+        out = url_filter.judge_urls(table, URL_RULES).collect()
+        assert len(out) == 151
+        for row in out:
+            if row.rule is None:
+                assert row.verdict == expected[row.host], (seed, row)
+                blocked += row.verdict == "block"
+    assert blocked > 0
+
+
 def test_walks_reach_the_end_of_a_long_chain(spark, docs, monkeypatch):
     monkeypatch.setattr(url_filter, "TOLERANCE", 0.05)
     names = [f"h{n}.org" for n in range(33)] + ["b.net/es/0"]
@@ -694,3 +758,58 @@ def test_leaks_equal_the_plain_definition_on_random_items(spark, docs):
         shapes = {s for _, s, _ in ours if s} | {p for p, _, _ in ours}
         assert sum(p in shapes or s in shapes for p, s, _ in theirs) >= 0.4 * len(theirs)
     assert not {d for d, _ in found} & {20, 21}
+
+
+def plain_quadratic_scores(rows, texts):
+    """Scores by the formula: rows are (statistics, label), covariances inverted as they are."""
+    every = np.array([x for x, _ in rows])
+    moments = {}
+    for label in (0, 1):
+        own = every[[n for n, (_, given) in enumerate(rows) if given == label]]
+        moments[label] = (len(own), own.mean(axis=0), np.cov(own.T, bias=True))
+    total = sum(n for n, _, _ in moments.values())
+    pooled = sum(n * cov for n, _, cov in moments.values()) / total
+    out = []
+    for x in texts:
+        density = {}
+        for label, (n, mean, cov) in moments.items():
+            cov = 0.8 * cov + 0.2 * pooled
+            cov = 0.8 * cov + 0.2 * np.diag(np.diag(cov)) + 1e-2 * np.eye(len(cov))
+            distance = (x - mean) @ np.linalg.inv(cov) @ (x - mean)
+            density[label] = np.log(n / total) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * distance
+        out.append(1 / (1 + np.exp(-np.clip((density[1] - density[0]) / 2, -40, 40))))
+    return out
+
+
+def test_quality_scores_equal_the_formula(spark, docs, nothing):
+    import zlib
+
+    import pyarrow as pa
+
+    draw = random.Random(31)
+    said = []
+    for n in range(120):
+        good = n % 2
+        words = [draw.choice(["river", "stone", "and", "the", "maple,", "Élan."]) for _ in range(draw.randrange(1, 80))]
+        said.append(" ".join(words) if good else " ".join(w + draw.choice(["###", "12", "!!", ""]) for w in words) + "\n" * 3)
+    said += [None, "", "x" * 300_000, said[0]]
+    ids = [*range(len(said) - 1), 0]
+    table = spark.createDataFrame([(i, t, "en", 1.0, 5) for i, t in zip(ids, said)], "doc_id long, text string, lang string, score double, quality int")
+    given = [(n, n % 2, 0) for n in range(120)] + [(5, 1, 0), (7, None, 0), (None, 1, 0)]
+    labels = spark.createDataFrame(given, "doc_id long, quality int, toxic int")
+    one = {t: quality.statistics(pa.array([t], pa.string()))[0] for t in said}
+    learned = [
+        (one[t], label) for i, t in zip(ids, said) for n, label, _ in given
+        if n == i and label is not None and zlib.crc32(str(i).encode()) % 3 != 1
+    ]
+    wanted = dict(zip(said, plain_quadratic_scores(learned, [one[t] for t in said])))
+    out = quality.score_quality(table, labels).collect()
+    assert len(out) == len(said)
+    by_id = dict(zip(ids, said))
+    for row in out:
+        assert abs(row.score - wanted[by_id[row.doc_id]]) < 1e-6
+        assert row.predicted == (row.score >= 0.5)
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1)
+    assert quality.score_quality(nothing, labels).count() == 0
+    unlabelled = quality.score_quality(table, labels.where("false")).select("score").distinct().collect()
+    assert [r.score for r in unlabelled] == [0.5]

@@ -157,6 +157,42 @@ LLM_ORACLE: dict[str, str] = {
             vec_id = component_id as kept
         from embeddings join components on node = vec_id
     """,
+    "op4_suffix_dedup": """
+        with texts as (
+            select doc_id, hex(coalesce(text, '')) as h from documents
+        ), blocks as (
+            select doc_id, b, substr(h, 1024 * b + 1, 1222) as part
+            from (select doc_id, h, unnest(range(0, len(h) // 1024 + 1)) as b from texts)
+        ), starts as (
+            select doc_id, part, b, unnest(range(0, least(512, len(part) // 2 - 99))) as i from blocks
+        ), later as (
+            select doc_id, p from (
+                select doc_id, 512 * b + i as p, row_number() over (
+                    partition by md5(substr(part, 2 * i + 1, 200)) order by doc_id, 512 * b + i
+                ) as place from starts
+            ) where place > 1
+        ), marked as (
+            select *, p > coalesce(lag(p) over (partition by doc_id order by p) + 100, -1) as opens
+            from later
+        ), runs as (
+            select doc_id, min(p) as lo, max(p) + 100 as hi from (
+                select *, sum(cast(opens as int)) over (partition by doc_id order by p) as run
+                from marked
+            ) group by doc_id, run
+        ), gaps as (
+            select doc_id, lo, hi, coalesce(lag(hi) over (partition by doc_id order by lo), 0) as before
+            from runs
+        ), cut as (
+            select g.doc_id, cast(sum(hi - lo) as bigint) as n_removed, count(*) as n_spans,
+                string_agg(substr(any_h, 2 * before + 1, 2 * (lo - before)), '' order by lo)
+                    || substr(any_value(any_h), 2 * max(hi) + 1) as kept
+            from gaps g join (select doc_id, h as any_h from texts) t on t.doc_id = g.doc_id
+            group by g.doc_id
+        )
+        select t.doc_id, cast(len(h) // 2 as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed,
+            coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256
+        from texts t left join cut c on c.doc_id = t.doc_id
+    """,
     "op6_minhash": f"""
         with recursive words as (
             select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
