@@ -328,7 +328,7 @@ def chat_rows(seed, conversations, longest, texts):
     ],
 )
 def test_trie_equals_the_plain_definition(spark, seed, band, least_group, texts):
-    rows = chat_rows(seed, 60, 23, texts)
+    rows = chat_rows(seed, 60, 23 if band > 1 else 13, texts)
     frame = spark.createDataFrame([(*r, 1, "x", b"") for r in rows], CHATS)
     got = prefix_trie.prefix_nodes(frame, band, least_group)
     assert got.columns == list(prefix_trie.NODE_COLUMNS)
