@@ -141,6 +141,16 @@ def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], every[offsets[0] : offsets[-1]]
 
 
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors of the pieces of a batch of texts, and the number of their pieces."""
+    for batch in batches:
+        found = [piece[2] for piece in pieces(*_flat(batch.column(0)))]
+        if found:
+            anchor, count = np.unique(np.concatenate(found), return_counts=True)
+            columns = [pa.array(anchor.view(np.int64)), pa.array(count.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "n"])
+
+
 _PIECE = "doc_id long, lo long, windows int, anchor long, gram int, content long"
 
 
@@ -362,10 +372,10 @@ def _spans(doc: np.ndarray, lo: np.ndarray, width: int) -> pa.Table:
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each wanted piece."""
+    """The bytes of each wanted piece, with the number of pieces that its anchor has."""
     for batch in batches:
         rows = zip(batch.column("doc_id").to_pylist(), batch.column("wanted"), batch.column("text"))
-        doc, lo, anchor, gram, content, cut = [], [], [], [], [], []
+        doc, lo, anchor, gram, content, count, cut = [], [], [], [], [], [], []
         for doc_id, wanted, text in rows:
             data = (text.as_py() or "").encode()
             for piece in wanted.as_py():
@@ -374,6 +384,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 anchor.append(piece["anchor"])
                 gram.append(piece["gram"])
                 content.append(piece["content"])
+                count.append(piece["n"])
                 cut.append(data[piece["lo"] : piece["lo"] + piece["windows"] + WINDOW - 1])
         yield pa.RecordBatch.from_arrays(
             [
@@ -382,9 +393,10 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(anchor, pa.int64()),
                 pa.array(gram, pa.int32()),
                 pa.array(content, pa.int64()),
+                pa.array(count, pa.int64()),
                 pa.array(cut, pa.binary()),
             ],
-            ["doc_id", "lo", "anchor", "gram", "content", "bytes"],
+            ["doc_id", "lo", "anchor", "gram", "content", "n", "bytes"],
         )
 
 
@@ -402,12 +414,15 @@ def _found_spans(documents: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     texts = texts.where(F.octet_length("text") >= WINDOW)
-    found = texts.mapInArrow(_pieces, _PIECE)
-    shared = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     place = F.struct("doc_id", "lo", "windows", "gram")
     width = F.abs("windows") + F.lit(WINDOW - 1)
     # The candidates are the largest table; they go before the bytes of pieces are gathered.
     with short_lived(documents.sparkSession):
+        counts = texts.select("text").mapInArrow(_anchors, "anchor long, n long")
+        counts = counts.groupBy("anchor").agg(F.sum("n").alias("n"))
+        # Written, as a join can be split where an anchor is frequent unless it continues the grouping.
+        shared = written(counts.where("n > 1").select("anchor"), "shared-anchors")
+        found = texts.mapInArrow(_pieces, _PIECE)
         candidates = written(found.join(shared, "anchor", "left_semi"), "pieces")
         firsts = written(
             candidates.where("windows > 0")
@@ -434,17 +449,18 @@ def _found_spans(documents: DataFrame) -> DataFrame:
     several = written(several, "anchors")
     total = several.agg(F.sum("size")).first()[0] or 0
     blocks = int(total // BLOCK) + 1
+    piece = F.struct("lo", "windows", "anchor", "gram", "content", "n")
     wanted = (
-        firsts.join(several.select("anchor"), "anchor", "left_semi")
+        firsts.join(several.select("anchor", "n"), "anchor")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("lo", "windows", "anchor", "gram", "content")).alias("wanted"))
+        .agg(F.collect_list(piece).alias("wanted"))
     )
     cut = wanted.join(texts, "doc_id").mapInArrow(
-        _cut_out, "doc_id long, lo long, anchor long, gram int, content long, bytes binary"
+        _cut_out, "doc_id long, lo long, anchor long, gram int, content long, n long, bytes binary"
     )
     deal = F.ceil(F.col("n") / BLOCK_PIECES)
     salt = F.pmod(F.xxhash64("content"), deal)
-    placed = cut.join(several.select("anchor", "n"), "anchor").select(
+    placed = cut.select(
         "doc_id",
         "lo",
         "anchor",
