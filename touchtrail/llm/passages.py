@@ -193,12 +193,11 @@ def column_index(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
     State: for every suffix inserted so far, in sorted order, the symbol before it (0 at the start
     of its string) and its common prefix with its neighbour; and the places of these symbols,
     grouped by symbol. A round inserts, for each string, the suffix that is one symbol longer. Its
-    rank among all suffixes is the rank of its symbol among the grouped places.
+    rank among all suffixes is the rank of its symbol among the grouped places. A last walk along
+    these ranks tells which suffix stands at which place.
     """
     count = len(offsets) - 1
     symbols = data + np.uint8(1)
-    string = np.arange(count, dtype=np.int32)
-    length = np.zeros(count, np.int32)
     common = np.zeros(count, np.int32)
     before = np.zeros(count, np.uint8)
     active = np.flatnonzero(np.diff(offsets) > 0)
@@ -232,13 +231,11 @@ def column_index(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
         going = longer >= offsets[active]
         follows = np.where(going, symbols[np.maximum(longer, 0)], np.uint8(0))
         before = _grown(old, places, before, follows)
-        string = _grown(old, places, string, active)
-        length = _grown(old, places, length, rounds)
         common = _grown(old, places, common, 0)
         common[count + touched] = least
 
         moved = np.flatnonzero(old).astype(np.int32)
-        grouped = moved[grouped]
+        grouped = np.take(moved, grouped)
         active, places, follows = active[going], places[going], follows[going]
         order = np.lexsort((places, follows))
         sorted_places, sorted_follows = places[order], follows[order]
@@ -253,7 +250,25 @@ def column_index(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
         rank = np.empty(len(order), np.int64)
         rank[order] = slots + np.arange(len(order))
         ends += np.cumsum(np.bincount(follows, minlength=256))
-    return string, length, common
+    return *_owners(np.diff(offsets), grouped, len(before)), common
+
+
+def _owners(sizes: np.ndarray, grouped: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """String and length of the suffix at each place, from the empty suffixes to the whole strings."""
+    count = len(sizes)
+    string, length = np.zeros(total, np.int32), np.zeros(total, np.int32)
+    string[:count] = np.arange(count)
+    longer = np.zeros(total, np.int64)
+    longer[grouped] = np.arange(count, total)
+    active = place = np.flatnonzero(sizes > 0)
+    rounds = 0
+    while len(active):
+        rounds += 1
+        place = longer[place]
+        string[place], length[place] = active, rounds
+        going = sizes[active] > rounds
+        active, place = active[going], place[going]
+    return string, length
 
 
 def _grown(old: np.ndarray, places: np.ndarray, values: np.ndarray, added) -> np.ndarray:
