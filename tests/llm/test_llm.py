@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -25,7 +26,7 @@ from touchtrail.llm import (
     quality,
     url_filter,
 )
-from touchtrail.llm.queries import LLM_QUERIES, URL_RULES
+from touchtrail.llm.queries import LLM_ORACLE, LLM_QUERIES, URL_RULES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, node int"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -271,6 +272,11 @@ def test_verdicts_equal_dense_walks_on_random_graphs(spark, docs):
             if row.rule is None:
                 assert row.verdict == expected[row.host], (seed, row)
                 blocked += row.verdict == "block"
+        con = duckdb.connect()
+        con.register("pages", table.toPandas())
+        assert sorted(map(str, con.sql(LLM_ORACLE["op3_url_filter"]).fetchall())) == sorted(
+            str(tuple(row)) for row in out
+        )
     assert blocked > 0
 
 

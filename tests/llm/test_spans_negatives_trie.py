@@ -17,7 +17,15 @@ SF = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize(
-    "name", ["op1_near_vectors", "op4_suffix_dedup", "op6_minhash", "op12_hard_negatives", "op13_prefix_trie"]
+    "name",
+    [
+        "op1_near_vectors",
+        "op3_url_filter",
+        "op4_suffix_dedup",
+        "op6_minhash",
+        "op12_hard_negatives",
+        "op13_prefix_trie",
+    ],
 )
 def test_query_equals_its_sql(spark, name):
     con = duck(SF)

@@ -140,6 +140,10 @@ _COMPONENTS = """reached as (
             select node, min(root) as component_id from reached group by node
         )"""
 
+# Steps of a walk whose last one still moves less than url_filter.TOLERANCE pages on any given table.
+_WALK_STEPS = 200
+_RULE_ROWS = ", ".join(f"('{rule.verdict}', '{rule.host}', '{rule.path}')" for rule in URL_RULES)
+
 LLM_ORACLE: dict[str, str] = {
     "op1_near_vectors": f"""
         with recursive vectors as (
@@ -157,6 +161,62 @@ LLM_ORACLE: dict[str, str] = {
             vec_id = component_id as kept
         from embeddings join components on node = vec_id
     """,
+    # A walk that returns to its seeds where no link leaves is the one that ends there, scaled to 1.
+    "op3_url_filter": f"""
+        with recursive rules(verdict, host, path) as (values {_RULE_ROWS}), urls as (
+            select page_id, html, case when strpos(url, '://') > 0
+                then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+        ), parsed as (
+            select page_id, html, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+                translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz') as host from urls
+        ), matches as (
+            select p.host, p.path, arg_max(r.host || r.path, len(r.host || r.path)) as rule,
+                arg_max(r.verdict, len(r.host || r.path)) as verdict
+            from (select distinct host, path from parsed) p join rules r
+            on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+            group by 1, 2
+        ), matched as (
+            select page_id, p.host, p.path, rule, verdict from parsed p
+            left join matches m on m.host = p.host and m.path = p.path
+        ), hosts as (
+            select host, count(*) as pages, count(*) filter (verdict = 'allow') as allowed,
+                count(*) filter (verdict = 'block') as blocked
+            from matched where host <> '' group by 1
+        ), links as (
+            select src, dst, count(*) as weight from (
+                select host as src, unnest(list_distinct(list_transform(regexp_extract_all(html,
+                    '(?i)\\bhref\\s*=\\s*["'']?\\s*(?:[a-z][a-z0-9+.\\-]*:)?//([^/?#"''\\s>]+)', 1),
+                    lambda h: translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz')))) as dst from parsed
+            ) where src <> '' and src <> dst group by 1, 2
+        ), steps as (
+            select kind, src, dst, weight / sum(weight) over (partition by kind, src) as share from (
+                select 'allow' as kind, src, dst, weight from links
+                union all select 'block', dst, src, weight from links)
+        ), seeds as (
+            select kind, host, n / sum(n) over (partition by kind) as mass from (
+                select 'allow' as kind, host, allowed as n from hosts
+                union all select 'block', host, blocked from hosts) where n > 0
+        ), walk as (
+            select 0 as k, kind, host, mass from seeds
+            union all
+            select k + 1, w.kind, dst, cast(0.85 as double) * sum(mass * share)
+            from walk w join steps s on s.kind = w.kind and s.src = w.host
+            where k < {_WALK_STEPS} group by k, w.kind, dst
+        ), masses as (
+            select kind, host, sum(mass) / sum(sum(mass)) over (partition by kind) as mass
+            from walk group by 1, 2
+        ), per_page as (
+            select h.host, coalesce(a.mass, 0) * sum(allowed) over () / pages as trust, greatest(
+                blocked / pages, coalesce(b.mass, 0) * sum(blocked) over () / pages) as distrust
+            from hosts h left join masses a on a.kind = 'allow' and a.host = h.host
+            left join masses b on b.kind = 'block' and b.host = h.host
+        )
+        select page_id, m.host, path, rule, coalesce(verdict,
+            case when distrust >= 0.5 and distrust > trust then 'block' else 'allow' end) as verdict
+        from matched m left join per_page p on p.host = m.host
+    """,
     "op4_suffix_dedup": """
         with texts as (
             select doc_id, hex(coalesce(text, '')) as h from documents
