@@ -27,11 +27,19 @@ from touchtrail.llm.common import importable, read_table, written
 RANKS = "byte_bpe_50k.tiktoken"
 # Documents whose best language scores less are rejected.
 LEAST_LANGUAGE_SCORE = 0.3
+# Bytes of rows that a task hands to its Python worker at once; without, 64 MB of texts lie in both.
+BATCH_BYTES = 4 << 20
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """Lets workers find the package, and bounds what they get at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return importable(spark)
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the documents at hand; keeps their columns."""
-    importable(spark)
+    prepared(spark)
     model = language.fit(docs)
     if model is None:
         return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
@@ -48,25 +56,25 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of smallest id; ids that repeat go along."""
-    importable(spark)
+    prepared(spark)
     gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that repeat; a text may become empty and stays."""
-    importable(spark)
+    prepared(spark)
     return passages.remove_passages(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
-    return decontaminate.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_leaks(docs, read_table(prepared(spark), sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and digests of every remaining text; the columns are those of the encoder."""
-    importable(spark)
+    prepared(spark)
     return bpe.encode_texts(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 

@@ -4,10 +4,12 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -612,6 +614,40 @@ def test_pipeline_equals_the_plain_stages(spark, docs, tmp_path):
     assert 0 < len(expected) < len(kept) < len(given)
 
 
+def test_stages_bound_what_a_worker_gets(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(3_000, numPartitions=1).selectExpr(
+        "id AS doc_id", "repeat('long ', 2000) AS text"
+    )
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        corpus_pipeline.tokens(spark, docs, "")
+        largest = max(r.n for r in docs.mapInArrow(sizes, "n long").collect())
+        # A batch ends with the row that reaches the bound.
+        assert largest < (4 << 20) + 20_000
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_arrays_of_windows_do_not_grow_with_a_batch():
+    draw = random.Random(12)
+    words = [f"word{n}" for n in range(900)]
+    batch = pa.array([" ".join(draw.choices(words, k=400)) for _ in range(1_000)])
+    assert batch.nbytes > 2_500_000
+    tracemalloc.start()
+    try:
+        for _ in decontaminate._windows(batch, (5,), False, (5, 6)):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 50_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def held_items(spark, texts, items):
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from touchtrail.session import scratch_dir
 
-# Bytes of text whose hashes are computed at once; a longer text is a block of its own.
-BLOCK_BYTES = 2_000_000
+# Bytes of text whose hashes are computed at once; a longer text is a block of its own. The arrays of
+# a block take about a hundred times its bytes, in every task that an executor runs.
+BLOCK_BYTES = 250_000
 
 _rng = np.random.Generator(np.random.PCG64(20240131))
 _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
