@@ -71,6 +71,19 @@ def test_nested_scan_reads_used_fields_only(spark, tmp_path):
     assert not re.search("int_value|traffic_source|ecommerce|user_pseudo_id|unused", schema)
 
 
+def test_days_of_an_export_do_nothing_to_the_path_of_each_event(spark, tmp_path):
+    web = given.web_events(given.read_events(spark, SF))
+    shard = str(tmp_path / "events_all")
+    given.as_nested(given.batch_part(web)).repartition(3).write.parquet(shard)
+    found = pipeline._days_by_file(spark, [shard])
+    assert "regexp_replace" not in plan(found)
+    rows = found.collect()
+    assert len({r.path for r in rows}) == 3 and len({r.day for r in rows}) == 23
+    _, facts = pipeline.export_changes(spark, spark.read.parquet(shard), str(tmp_path / "staged"))
+    (fact,) = facts.values()
+    assert sorted(fact["days"]) == [f"2024-01-{day:02d}" for day in range(1, 24)]
+
+
 def test_top_k(tables, spark):
     web = given.web_events(given.read_events(spark, SF))
     assert "TakeOrderedAndProject" in plan(reports.live_events(given.as_landed(web)))

@@ -337,3 +337,25 @@ def test_ingest_reads_a_table_that_is_a_folder_of_part_files(spark, tmp_path):
     source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     source.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
     assert catalog.ingest_stream(spark, str(tmp_path)).count() == 2 * source.count()
+
+
+def test_batches_of_the_refresh_query_are_read_by_all_cores(spark, tmp_path, monkeypatch):
+    from touchtrail.plans import catalog
+
+    given_rows = spark.range(2_000).selectExpr(
+        "id AS event_id",
+        "CAST(TIMESTAMP_NTZ '2024-01-18 00:00:01' + make_dt_interval(0, 0, 9 * CAST(id AS int)) AS TIMESTAMP_NTZ) AS ts",
+        "id % 7 AS user_id",
+        "IF(id % 3 = 0, 'purchase', 'click') AS event_type",
+        "CAST(id AS double) AS value",
+        """'{"k": ' || id || '}' AS props""",
+    )
+    given_rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(catalog, "scratch_dir", lambda _, label: str(tmp_path / label))
+    marts = catalog.stream_rebuild(spark, str(tmp_path))
+    entries = [json.loads(f.read_text()) for f in (tmp_path / "stream-rebuild/landing/_deliveries").rglob("*.json")]
+    assert len(entries) == catalog.REFRESH_BATCHES
+    assert all(len(e["files"]) == spark.sparkContext.defaultParallelism for e in entries)
+    once = catalog.rebuild(spark, str(tmp_path))
+    assert rows_of(marts.select("conversion_id", "attribution_model")) != []
+    assert rows_of(marts) == rows_of(once)

@@ -460,10 +460,12 @@ def stream_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     web = _web(spark, sf_dir)
     given.as_nested(given.batch_part(web)).write.parquet(f"{folder}/export/events_all")
     sent = given.landed_part(web).select(*ingest.SENT_EVENTS.fieldNames())
-    sent.repartition(REFRESH_BATCHES, "event_ts").write.parquet(f"{folder}/sent")
+    # As many files a batch as there are cores, so that no task takes a batch alone.
+    cores = spark.sparkContext.defaultParallelism
+    sent.repartition(REFRESH_BATCHES * cores, "event_ts").write.parquet(f"{folder}/sent")
     # Rows arrive with whole seconds, so the export's copies have them as well.
     stream = ingest.read_stream(
-        spark, f"{folder}/sent", ingest.SENT_EVENTS, "parquet", 1, path_glob="*.parquet"
+        spark, f"{folder}/sent", ingest.SENT_EVENTS, "parquet", cores, path_glob="*.parquet"
     )
     refresh.start_refresh(
         stream,

@@ -211,27 +211,23 @@ def export_changes(
     noted = json.loads(text) if text else {}
     now: dict[str, list[str]] = {}
     for file in nested.inputFiles():
-        # A local path is file:///x in the list of files and file:/x in a row's own data.
-        folder, _, name = re.sub("^file:/+", "file:/", file).rpartition("/")
+        folder, name = _shard_of(file)
         now.setdefault(folder, []).append(name)
     digests = {
         folder: hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest()
         for folder, names in now.items()
     }
     fresh = [f for f, digest in digests.items() if noted.get(f, {}).get("files") != digest]
-    days: dict[str, list[str | None]] = {}
+    days: dict[str, dict[str | None, None]] = {}
     if fresh:
-        rows = spark.read.schema(NESTED_EVENTS).parquet(*sorted(fresh))
-        path_of = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
-        folder = F.regexp_replace(path_of, "/[^/]*$", "")
-        day = utc_day(F.timestamp_micros("event_timestamp"))
-        # At most one row per shard and day that its events are on.
-        for row in rows.select(folder.alias("folder"), day.alias("day")).distinct().collect():
-            if row.folder not in digests:
-                raise RuntimeError(f"rows of a shard that was not listed: {row.folder}")
-            days.setdefault(row.folder, []).append(row.day and row.day.isoformat())
+        # At most one row per file and day that its events are on.
+        for row in _days_by_file(spark, fresh).collect():
+            folder, _ = _shard_of(row.path)
+            if folder not in digests:
+                raise RuntimeError(f"rows of a shard that was not listed: {folder}")
+            days.setdefault(folder, {})[row.day and row.day.isoformat()] = None
     facts = {
-        folder: {"files": digest, "days": days.get(folder, [])}
+        folder: {"files": digest, "days": list(days.get(folder, ()))}
         if folder in fresh
         else noted[folder]
         for folder, digest in digests.items()
@@ -245,6 +241,20 @@ def export_changes(
     ), facts
 
 
+def _shard_of(file: str) -> tuple[str, str]:
+    """Folder and name of a file of the export."""
+    # A local path is file:///x in the list of files and file:/x in a row's own data.
+    folder, _, name = re.sub("^file:/+", "file:/", file).rpartition("/")
+    return folder, name
+
+
+def _days_by_file(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """(path, day), once each; nothing is done to the path of every event, which takes most of the time."""
+    rows = spark.read.schema(NESTED_EVENTS).parquet(*sorted(folders))
+    day = utc_day(F.timestamp_micros("event_timestamp"))
+    return rows.select(F.col("_metadata.file_path").alias("path"), day.alias("day")).distinct()
+
+
 def note_export(spark: SparkSession, path: str, facts: dict[str, dict]) -> None:
     """Note which shards are staged; to be called once they are."""
     files.write_over(spark, f"{path}/{_EXPORT}", json.dumps(facts, sort_keys=True))
